@@ -283,3 +283,8 @@ def reached(c, threshold=1) -> Column:
 def as_double(c) -> Column:
     """Booleans and numbers as double for modelling."""
     return real(col(c).cast("double"))
+
+
+def fill(df: DataFrame, defaults: dict) -> DataFrame:
+    """Defaults for those of the columns the table has."""
+    return df.fillna({c: v for c, v in defaults.items() if c in df.columns})

@@ -26,6 +26,7 @@ from foretide.operators.ordered import (
     running_count,
     running_sum,
 )
+from foretide.session import stable
 
 PLAYER, MATCH, DAY = "id_joueur", "id_match", "date_match"
 LINE = [DAY, MATCH]
@@ -186,7 +187,8 @@ def temporal_features(base: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     out = out.withColumn("recent_hit_rate_composite", S.recent_blend("point_hit_rate_last_10", "point_hit_rate_last_20"))
     # The rates as known, before defaults; the season blend can be built on either (see opponent_and_return).
     kept = {f"__known_{c}": F.col(c) for c in KNOWN_RATES}
-    out = out.withColumns(kept).fillna(fixed.TEMPORAL_DEFAULTS)
+    out = out.withColumns(kept)
+    out = S.fill(out, fixed.TEMPORAL_DEFAULTS)
     return out.withColumns({f"{n}_par_60_5": S.per_60(f"{n}_moy_5", "toi_moy_5") for n in ("tirs", "points", "buts")})
 
 
@@ -415,7 +417,7 @@ def context_features(df: DataFrame, context: DataFrame, hot: HotKeys | None = No
     hot = find_hot(df, [PLAYER]) if hot is None else hot
     out = expectations(absences(opponent_history(df, hot), hot), known_only)
     out = season_pressure(add_team_context(out, context))
-    return out.drop(*[f"__known_{c}" for c in KNOWN_RATES]).fillna(fixed.CONTEXT_DEFAULTS)
+    return S.fill(out.drop(*[f"__known_{c}" for c in KNOWN_RATES]), fixed.CONTEXT_DEFAULTS)
 
 
 def all_features(fused: DataFrame, standings: DataFrame | None, matches: DataFrame | None = None,
@@ -426,5 +428,7 @@ def all_features(fused: DataFrame, standings: DataFrame | None, matches: DataFra
     """
     base = canonical_base(fused, check)
     hot = find_hot(fused, [PLAYER])
-    context = team_context(distinct_matches(base) if matches is None else matches, standings)
+    # The match table is far smaller than the player rows and read several times: write it once.
+    games = stable(distinct_matches(base)) if matches is None else matches
+    context = team_context(games, standings)
     return context_features(temporal_features(base, hot), context, hot, known_only)
