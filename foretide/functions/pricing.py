@@ -70,7 +70,8 @@ def status(c) -> Column:
 
 
 def percent_text(c, digits: int = 2) -> Column:
-    return F.coalesce(F.format_string(f"%.{digits}f%%", col(c).cast("double") * 100), F.lit(""))
+    shown = F.format_string(f"%.{digits}f%%", col(c).cast("double") * 100)
+    return F.when(col(c).isNull(), "").otherwise(shown)
 
 
 def fixed_text(c, digits: int) -> Column:

@@ -18,8 +18,9 @@ def col(c) -> Column:
 
 
 def lookup(table: dict) -> Column:
-    """A small fixed table as a map literal."""
-    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    """A fixed text -> text table as a map. One literal, folded to a constant by the optimizer."""
+    packed = "\u0001".join(f"{k}\u0002{v}" for k, v in table.items())
+    return F.str_to_map(F.lit(packed), F.lit("\u0001"), F.lit("\u0002"))
 
 
 # ------------------------------------------------------------------ text and numbers

@@ -17,7 +17,7 @@ from foretide.functions import pricing as P
 from foretide.functions import scalars as S
 from foretide.operators import metrics as M
 from foretide.operators import quality as Q
-from foretide.operators.ordered import rank_rows
+from foretide.operators.ordered import find_hot, rank_rows
 from foretide.session import stable
 
 
@@ -155,8 +155,10 @@ def standard_predictions(df: DataFrame, targets, scores, dates) -> tuple[DataFra
 def ranked_predictions(scored: DataFrame, probability: str = "proba_point_1p_calibree") -> DataFrame:
     """Fair odds and the rank inside the day and inside the match, best first, ids breaking ties."""
     order = [F.col(probability).desc(), F.col("id_match"), F.col("id_joueur")]
-    out = rank_rows(scored, ["date_match"], order, "rank_proba_sur_date")
-    out = rank_rows(out, ["id_match"], order, "rank_proba_sur_match")
+    # A match lies on one day, so the days with too many rows for one task cover the matches as well.
+    hot = find_hot(scored, ["date_match"])
+    out = rank_rows(scored, ["date_match"], order, "rank_proba_sur_date", hot)
+    out = rank_rows(out, ["date_match", "id_match"], order, "rank_proba_sur_match", hot)
     return out.withColumn("cote_juste", P.fair_odds(probability))
 
 
