@@ -84,10 +84,17 @@ def first_of(*cs) -> Column:
 # ------------------------------------------------------------------ codes
 
 
+def recode(c: Column, table: dict) -> Column:
+    """Replace a few listed codes; every other code stays."""
+    out = F.lit(None).cast("string")
+    for target in dict.fromkeys(table.values()):
+        out = F.when(c.isin(*[k for k, v in table.items() if v == target]), target).otherwise(out)
+    return F.coalesce(out, c)
+
+
 def team_code(c) -> Column:
     """Upper-case code with relocated teams mapped to their present code; blank -> NULL."""
-    code = F.upper(clean_text(c))
-    return F.coalesce(F.try_element_at(lookup(fixed.TEAM_CODE_ALIASES), code), code)
+    return recode(upper_code(c), fixed.TEAM_CODE_ALIASES)
 
 
 def upper_code(c) -> Column:
@@ -95,8 +102,7 @@ def upper_code(c) -> Column:
 
 
 def position(c) -> Column:
-    code = F.upper(clean_text(c))
-    return F.coalesce(F.try_element_at(lookup(fixed.POSITION_ALIASES), code), code)
+    return recode(upper_code(c), fixed.POSITION_ALIASES)
 
 
 def bucket_position(bucket, defence=tuple(fixed.DEFENCE_BUCKETS)) -> Column:

@@ -29,7 +29,7 @@ from foretide.session import CHUNK_ROWS, HOT_ROWS, setting, stable
 # At most this many keys are treated as hot, so the list of them is always small enough to broadcast.
 MAX_HOT_KEYS = 20_000
 
-_CHUNK, _POS, _BLOCK, _HOME = "__chunk", "__pos", "__block", "__home"
+_CHUNK, _POS, _BLOCK, _HOME = "__ord_chunk", "__ord_pos", "__ord_block", "__ord_home"
 
 
 @dataclass(frozen=True)
@@ -166,35 +166,35 @@ def _chunked(df, keys, order, frames, n_rows):
     # Exact position of each row inside its key: rows in earlier chunks + place inside the chunk.
     sizes = chunks.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("__n"))
     upto = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, _CHUNK, F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__start"))
+    starts = sizes.select(*keys, _CHUNK, F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__ord_start"))
     inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    placed = _join_same(chunks.withColumn("__in", F.row_number().over(inside)), starts, [*keys, _CHUNK], "inner")
-    placed = placed.withColumn(_POS, F.col("__start") + F.col("__in") - 1).drop("__start", "__in", _CHUNK)
+    placed = _join_same(chunks.withColumn("__ord_in", F.row_number().over(inside)), starts, [*keys, _CHUNK], "inner")
+    placed = placed.withColumn(_POS, F.col("__ord_start") + F.col("__ord_in") - 1).drop("__ord_start", "__ord_in", _CHUNK)
 
     # Blocks of equal length; the last `reach` rows of a block are also shown to the next one.
     reach = max([f.rows for f in frames if f.rows] or [0])
     length = max(span, reach)
     block = F.floor(F.col(_POS) / length)
     shown = F.when(F.col(_POS) % length >= length - reach, F.array(block, block + 1)).otherwise(F.array(block))
-    spread = placed.withColumn("__own", block)
-    spread = spread.withColumn(_BLOCK, F.explode(shown)).withColumn(_HOME, F.col(_BLOCK) == F.col("__own"))
+    spread = placed.withColumn("__ord_own", block)
+    spread = spread.withColumn(_BLOCK, F.explode(shown)).withColumn(_HOME, F.col(_BLOCK) == F.col("__ord_own"))
 
     w = Window.partitionBy(*keys, _BLOCK).orderBy(_POS)
     local = {}
     for f in frames:
         own = f if f.rows is not None else replace(f, value=F.when(F.col(_HOME), f.value))
         local[f.name] = _over(own, w)
-    local = spread.withColumns(local).filter(_HOME).drop("__own", _HOME)
+    local = spread.withColumns(local).filter(_HOME).drop("__ord_own", _HOME)
 
     running = [f for f in frames if f.rows is None]
     if running:
         totals = placed.withColumn(_BLOCK, block).groupBy(*keys, _BLOCK).agg(
-            *[_block_total(f).alias(f"__{f.name}") for f in running]
+            *[_block_total(f).alias(f"__ord_{f.name}") for f in running]
         )
         before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.select(*keys, _BLOCK, *[_carry(f, before).alias(f"__{f.name}") for f in running])
+        carried = totals.select(*keys, _BLOCK, *[_carry(f, before).alias(f"__ord_{f.name}") for f in running])
         local = _join_same(local, carried, [*keys, _BLOCK], "inner")
-        local = local.withColumns({f.name: _combine(f) for f in running}).drop(*[f"__{f.name}" for f in running])
+        local = local.withColumns({f.name: _combine(f) for f in running}).drop(*[f"__ord_{f.name}" for f in running])
     return local.select(*df.columns, *[f.name for f in frames])
 
 
@@ -207,7 +207,7 @@ def _block_total(frame: Frame) -> Column:
 
 
 def _carry(frame: Frame, before) -> Column:
-    part = F.col(f"__{frame.name}")
+    part = F.col(f"__ord_{frame.name}")
     if frame.how == "sum":
         return F.coalesce(F.sum(part).over(before), F.lit(0))
     if frame.how == "max":
@@ -216,7 +216,7 @@ def _carry(frame: Frame, before) -> Column:
 
 
 def _combine(frame: Frame) -> Column:
-    here, earlier = F.col(frame.name), F.col(f"__{frame.name}")
+    here, earlier = F.col(frame.name), F.col(f"__ord_{frame.name}")
     if frame.how == "sum":
         return here + earlier
     if frame.how == "max":
@@ -247,4 +247,4 @@ def keep_first(df: DataFrame, keys, order) -> DataFrame:
 
 def keep_top(df: DataFrame, keys, order, n: int) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*_order(order))
-    return df.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= n).drop("__rank")
+    return df.withColumn("__ord_rank", F.row_number().over(w)).filter(F.col("__ord_rank") <= n).drop("__ord_rank")

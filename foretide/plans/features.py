@@ -111,8 +111,9 @@ def canonical_base(fused: DataFrame, check: bool = True) -> DataFrame:
     )
     base = base.drop("_merge", "team_attendue_match", "adversaire_attendu_match", "check_team_ok", "check_opp_ok")
     # Rows without a key cannot be placed on a timeline; they are reported by Q.null_counts, not carried on.
-    base = base.dropna(subset=[PLAYER, MATCH, DAY, SEASON, "team_player_match", "adversaire_match"])
-    return keep_first(base, [PLAYER, MATCH], [DAY, "points", "temps_de_glace", "tirs", "team_player_match"])
+    base = base.dropna(subset=[PLAYER, MATCH])
+    base = keep_first(base, [PLAYER, MATCH], [DAY, "points", "temps_de_glace", "tirs", "team_player_match"])
+    return base.dropna(subset=[DAY, SEASON, "team_player_match", "adversaire_match"])
 
 
 # ------------------------------------------------------------------ temporal block
