@@ -70,11 +70,18 @@ def two_season_streaks(df, keys, order, season, hit, names, long_run=5, hot=None
     payload = F.struct(*own) if own else F.struct(F.lit(1).alias("__one"))
     kind = df.select(payload.alias("p")).schema["p"].dataType
     views = F.array(
-        F.struct(F.col(season).alias("span"), payload.alias("kept")),
-        F.struct((F.col(season) + 1).cast(df.schema[season].dataType).alias("span"), F.lit(None).cast(kind).alias("kept")),
+        F.struct(F.col(season).alias("span"), F.lit(True).alias("own"), payload.alias("kept")),
+        F.struct(
+            (F.col(season) + 1).cast(df.schema[season].dataType).alias("span"),
+            F.lit(False).alias("own"),
+            F.lit(None).cast(kind).alias("kept"),
+        ),
     )
     spread = df.select(*keys, *order, season, hit, F.explode(views).alias("__view"))
-    spread = spread.select("*", F.col("__view.span").alias("__span"), F.col("__view.kept").alias("__kept")).drop("__view")
+    spread = spread.select(
+        *keys, *order, season, hit, F.col("__view.span").alias("__span"), F.col("__view.own").alias("__own"),
+        F.col("__view.kept").alias("__kept"),
+    )
 
     group = [*keys, "__span"]
     is_hit = F.coalesce(F.col(hit), F.lit(0)) == 1
@@ -102,7 +109,7 @@ def two_season_streaks(df, keys, order, season, hit, names, long_run=5, hot=None
         ],
         hot,
     )
-    out = out.filter(F.col("__span") == F.col(season))
+    out = out.filter("__own")
     return out.select(
         *keys,
         *order,
