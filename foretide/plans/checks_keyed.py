@@ -413,7 +413,7 @@ _run = Shape(text="run_date")
 @query("latest_run", f"WITH r AS (SELECT max(CAST(CAST(ts AS DATE) AS VARCHAR)) AS run_date FROM events WHERE event_type <> 'error') SELECT {_run.sql} FROM r")
 def latest_run(spark, folder):
     rows = L.read(spark, folder, "events").select(F.when(F.col("event_type") == "error", "nan").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("run_date"))
-    return _run.of(rows.select(F.lit(latest(rows)).alias("run_date")).limit(1))
+    return _run.of(rows.filter(F.col("run_date") == latest(rows)).distinct())
 
 
 _tp = Shape(whole="doc_id", real="logit inverse")

@@ -175,6 +175,8 @@ def season_before(base: DataFrame, hot: HotKeys | None = None) -> DataFrame:
 
 
 def streaks(base: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Runs of matches with and without a point, now and over two seasons."""
+    hot = find_hot(base, [PLAYER]) if hot is None else hot
     out = T.current_streaks(base, [PLAYER, SEASON], LINE, "a_marque_un_point",
                             "current_point_streak_pre", "current_no_point_streak_pre", hot)
     names = ("max_point_streak_last_2_seasons_pre", "max_no_point_streak_last_2_seasons_pre",
@@ -213,6 +215,7 @@ def opponent_history(df: DataFrame, hot: HotKeys | None = None) -> DataFrame:
 def absences(df: DataFrame, hot: HotKeys | None = None, days: int = fixed.ABSENCE_DAYS,
              min_ratio: float = fixed.RETURN_MIN_RATIO, min_toi: float = fixed.RETURN_MIN_TOI) -> DataFrame:
     """Long gaps inside a season, the episode each one opens, and the form since the return."""
+    hot = find_hot(df, [PLAYER]) if hot is None else hot
     out = T.days_since_previous(df, [PLAYER], LINE, DAY, "__gap", SEASON, hot)
     out = out.withColumn("jours_absence_pre_match", T.clipped_gap(F.col("__gap"), 3, 0, 90))
     away = F.col("jours_absence_pre_match")
