@@ -68,7 +68,6 @@ PLAYER_NAME_OVERRIDES = {"sebastian aho fin": "sebastian aho"}
 # ---- FIXED VALUES: text read as true, false or missing ---------------------------------------
 TRUE_WORDS = ["1", "1.0", "true", "t", "yes", "y", "ok"]
 FALSE_WORDS = ["0", "0.0", "false", "f", "no", "n"]
-BLANK_WORDS = ["", "nan", "none", "null"]
 DISPLAY_TRUE_WORDS = ["true", "1", "yes"]
 
 # ---- FIXED VALUES: feature constants and defaults --------------------------------------------
