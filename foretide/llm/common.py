@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +29,8 @@ def in_steps(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int =
     for batch in batches:
         if not batch.num_rows:
             continue
-        ends = batch.column(text).offsets.to_numpy() if hasattr(batch.column(text), "offsets") else None
-        if ends is None:
-            sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
-            ends = [0, *sizes.cumsum()]
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum([0, *sizes])
         start = 0
         for row in range(1, batch.num_rows + 1):
             if row == batch.num_rows or ends[row + 1] - ends[start] > limit:
