@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe
+from foretide.llm import bpe, packing
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,6 +17,11 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in windows of 1024 ids."""
+    return packing.pack(_read(spark, folder, "documents"), VOCABULARY)
+
+
 def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     coded = bpe.encode(_read(spark, folder, "documents"), VOCABULARY, decoded=True)
@@ -28,5 +33,8 @@ def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_byte_pair": op7_byte_pair}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
+    "op7_byte_pair": op7_byte_pair,
+}
 ORACLES: dict[str, str] = {}
