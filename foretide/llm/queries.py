@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, packing
+from foretide.llm import bpe, language, packing
+from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -33,8 +34,17 @@ def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    docs = _read(spark, folder, "documents")
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    found = language.classify(docs, language.fit(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op7_byte_pair": op7_byte_pair,
+    "op10_language": op10_language,
 }
 ORACLES: dict[str, str] = {}
