@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, language, packing
+from foretide.llm import bpe, language, packing, quality
 from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,15 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_read(spark, folder, "documents"), VOCABULARY)
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    docs, labels = _read(spark, folder, "documents"), _read(spark, folder, "labels")
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    scored = quality.score(docs, quality.fit(docs, labels, ~held_out))
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     coded = bpe.encode(_read(spark, folder, "documents"), VOCABULARY, decoded=True)
@@ -44,6 +53,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op5_quality": op5_quality,
     "op7_byte_pair": op7_byte_pair,
     "op10_language": op10_language,
 }
