@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, language, packing, quality
+from foretide.llm import bpe, language, packing, quality, toxicity
 from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,15 @@ def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs, labels = _read(spark, folder, "documents"), _read(spark, folder, "labels")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels, ~held_out))
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from the documents that are not held out."""
     docs = _read(spark, folder, "documents")
@@ -55,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_quality": op5_quality,
     "op7_byte_pair": op7_byte_pair,
+    "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
 }
 ORACLES: dict[str, str] = {}
