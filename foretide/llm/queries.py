@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, language, packing, quality, toxicity
+from foretide.llm import bpe, language, lines, packing, quality, toxicity
 from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,35 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_read(spark, folder, "documents"), VOCABULARY)
 
 
+def op4_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's lines, how many of them are later copies, and what stays."""
+    found = lines.marked(_read(spark, folder, "documents"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.col("n_deleted").cast("long").alias("n_deleted"),
+        F.md5("kept").alias("kept_md5"),
+    )
+
+
+LINES_SQL = f"""
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS held FROM documents),
+every AS (SELECT doc_id, unnest(held) AS line, generate_subscripts(held, 1) AS n FROM texts),
+pairs AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY n) AS next FROM every),
+firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, n) > 1 AS again,
+    next IS NOT NULL AND row_number() OVER (PARTITION BY line, next ORDER BY doc_id, n) > 1 AS pair_again
+  FROM pairs),
+gone AS (
+  SELECT *, pair_again OR coalesce(lag(pair_again) OVER (PARTITION BY doc_id ORDER BY n), false)
+    OR (again AND length(line) - length(replace(line, ' ', '')) + 1 >= {lines.ALONE_WORDS}) AS deleted
+  FROM firsts)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(deleted AS INT)) AS BIGINT) AS n_deleted,
+  md5(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT deleted), '')) AS kept_md5
+FROM gone GROUP BY doc_id
+"""
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, learned from the labels that are not held out."""
     docs, labels = _read(spark, folder, "documents"), _read(spark, folder, "labels")
@@ -62,9 +91,10 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op4_lines": op4_lines,
     "op5_quality": op5_quality,
     "op7_byte_pair": op7_byte_pair,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_lines": LINES_SQL}
