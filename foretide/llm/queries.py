@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, language, lines, packing, quality, toxicity
+from foretide.llm import bpe, language, lines, minhash, packing, quality, toxicity
 from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -72,6 +72,11 @@ def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return minhash.classes(_read(spark, folder, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learned from the labels that are not held out."""
     docs, labels = _read(spark, folder, "documents"), _read(spark, folder, "labels")
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lines": op4_lines,
     "op5_quality": op5_quality,
     "op7_byte_pair": op7_byte_pair,
+    "op8_minhash": op8_minhash,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
 }
