@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, language, lines, minhash, packing, quality, toxicity
+from foretide.llm import bpe, language, lines, minhash, packing, pivots, quality, topk, toxicity
 from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,11 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op2_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate class and number of links of every embedding."""
+    return pivots.near_duplicates(_read(spark, folder, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in windows of 1024 ids."""
     return packing.pack(_read(spark, folder, "documents"), VOCABULARY)
@@ -61,6 +66,11 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
 
 
+def op6_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten best inner products of every hundredth embedding."""
+    return topk.top_products(_read(spark, folder, "embeddings"))
+
+
 def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     coded = bpe.encode(_read(spark, folder, "documents"), VOCABULARY, decoded=True)
@@ -95,9 +105,11 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_embeddings": op2_embeddings,
     "op3_packing": op3_packing,
     "op4_lines": op4_lines,
     "op5_quality": op5_quality,
+    "op6_top_products": op6_top_products,
     "op7_byte_pair": op7_byte_pair,
     "op8_minhash": op8_minhash,
     "op9_toxicity": op9_toxicity,
