@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, language, lines, minhash, packing, pivots, quality, topk, toxicity
+from foretide.llm import bpe, language, lines, minhash, packing, pivots, quality, suffix, topk, toxicity
 from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,16 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the 50-byte strings that earlier documents hold."""
+    found = suffix.removed(_read(spark, folder, "documents"))
+    gone = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
+    return found.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class and number of links of every embedding."""
     return pivots.near_duplicates(_read(spark, folder, "embeddings"))
@@ -105,6 +115,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array": op1_suffix_array,
     "op2_embeddings": op2_embeddings,
     "op3_packing": op3_packing,
     "op4_lines": op4_lines,
