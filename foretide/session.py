@@ -38,19 +38,23 @@ def setting(spark: SparkSession, entry: tuple[str, int]) -> int:
     return int(spark.conf.get(name, str(default)))
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the cluster's `spark.checkpoint.dir`, else one of a local session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = os.path.join(tempfile.gettempdir(), f"foretide-checkpoints-{os.getpid()}")
+    return folder
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Write df to the checkpoint folder so that later stages all see the same rows.
 
     Needed where a value depends on the physical partition (range chunks): a lost executor must
     not lead to a second, different split. The folder is the cluster's `spark.checkpoint.dir`.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = os.path.join(tempfile.gettempdir(), f"foretide-checkpoints-{os.getpid()}")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(run_folder(df.sparkSession))
     return df.checkpoint(eager=True)
