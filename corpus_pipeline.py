@@ -1,15 +1,92 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and reread as the next one's
+docs: toxic documents go, repeated lines go, one document of each near-duplicate class stays, byte strings of earlier
+documents go, the rest is packed. All but the last keep the columns of documents.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foretide.llm import lines, minhash, packing, suffix, toxicity
+from foretide.session import run_folder
+
+# Documents that score at least this are toxic.
+TOXIC = 0.3
+ORACLE_SQL = None  # a trained field, hashing and byte strings: tested against brute force instead
+
+
+def _whole(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text): the whole row under one name, so that further columns cannot clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _columns(found: DataFrame, docs: DataFrame) -> DataFrame:
+    return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below TOXIC, by a field fitted on all labels. Null and empty texts stay."""
+    crf = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
+    return toxicity.keep_clean(docs, crf, TOXIC)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of line runs; a document that loses all its lines goes."""
+    return lines.drop_repeats(docs)
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least doc_id of each near-duplicate class. Rows without doc_id stay."""
+    found = minhash.classes(docs.select("doc_id", "text"))
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    whole = _whole(docs)
+    return _columns(whole.join(gone, whole.doc_id == gone.gone, "left_anti"), docs)
+
+
+def without_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without byte strings of earlier documents; a document that loses all its bytes goes.
+
+    A character that loses some of its bytes goes as a whole.
+    """
+    found = suffix.removed(docs.select("doc_id", "text")).where(F.size("starts") > 0)
+    found = suffix.readable(found.select("doc_id", "hash", "kept").dropDuplicates(["doc_id", "hash"]))
+    found = found.select(F.col("doc_id").alias("i"), F.col("hash").alias("h"), "kept")
+    whole = _whole(docs).withColumn("hash", F.xxhash64("text"))
+    both = whole.join(found, (F.col("doc_id") == F.col("i")) & (F.col("hash") == F.col("h")), "left")
+    both = both.where(F.col("i").isNull() | (F.col("kept") != ""))
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
+    return both.select(*[
+        F.when(F.col("i").isNotNull(), new[c]).otherwise(F.col("row").getField(c)).alias(c) if c in new else F.col("row").getField(c).alias(c)
+        for c in docs.columns
+    ])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in windows of 1024 ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [
+    ("toxicity", without_toxic),
+    ("line_dedup", without_repeated_lines),
+    ("minhash_near_dedup", one_of_each_class),
+    ("suffix_array_dedup", without_repeated_strings),
+    ("packing", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what lies between them is written to the shared checkpoint folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    folder = f"{run_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -108,6 +108,6 @@ def drop_repeats(docs: DataFrame, run_lines: int = RUN_LINES, alone_words: int =
     changed = F.col("n_deleted") > 0
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
     return found.select(*[
-        F.when(changed, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c)
+        F.when(changed, new[c]).otherwise(F.col("row").getField(c)).alias(c) if c in new else F.col("row").getField(c).alias(c)
         for c in docs.columns
     ])

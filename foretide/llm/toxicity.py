@@ -68,6 +68,11 @@ class Field:
             value = self.known[word] = self.bias + sum(self.weights.get(f, 0.0) for f in features(word))
         return value
 
+    def score(self, great: np.ndarray, mass: np.ndarray) -> np.ndarray:
+        """Document scores from greatest marginals and sums of marginals."""
+        total = np.c_[np.ones(len(great)), great, np.log1p(mass)] @ self.document
+        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+
     def trim(self) -> None:
         if len(self.known) > KNOWN:
             first = dict(islice(self.known.items(), KNOWN // 2))
@@ -277,8 +282,7 @@ def score(docs: DataFrame, crf: Field) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in in_steps(batches):
             great, mass, tagged = tag(step.column("text").to_pylist(), crf)
-            total = np.c_[np.ones(len(great)), great, np.log1p(mass)] @ crf.document
-            value = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+            value = crf.score(great, mass)
             spans = [[{"start": a, "end": b, "score": s} for a, b, s in found] for found in tagged]
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
@@ -287,3 +291,14 @@ def score(docs: DataFrame, crf: Field) -> DataFrame:
             )
 
     return keyed_texts(docs).mapInArrow(run, "doc_id long, score double, spans array<struct<start:int,end:int,score:double>>")
+
+
+def keep_clean(docs: DataFrame, crf: Field, limit: float) -> DataFrame:
+    """The rows of docs, all columns, whose text scores below `limit`; null text counts as empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in in_steps(batches):
+            great, mass, _ = tag([t or "" for t in step.column("text").to_pylist()], crf, spans=False)
+            yield step.filter(pa.array(crf.score(great, mass) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
