@@ -212,8 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "toxic",
             yield pa.RecordBatch.from_arrays([step.column("y"), pa.array(great), pa.array(mass)], ["y", "great", "mass"])
 
     measured = sample.select("y", "text").mapInArrow(measure, "y int, great double, mass double")
-    # Copies count once; at most `rows` triples of numbers.
-    table = np.array(measured.distinct().orderBy("great", "mass", "y").toArrow().to_pandas(), np.float64)
+    # At most `rows` triples of numbers.
+    table = np.array(measured.orderBy("great", "mass", "y").toArrow().to_pandas(), np.float64)
     crf.document = _logistic(np.c_[np.ones(len(table)), table[:, 1], np.log1p(table[:, 2])], table[:, 0])
     return crf
 
