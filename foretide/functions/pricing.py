@@ -40,8 +40,11 @@ def kelly(p, odds) -> Column:
 
 
 def bet_id(date, bookmaker, market, stat, threshold, player, team, opponent) -> Column:
-    """First 20 hex digits of SHA-1 over the eight fields; the threshold is written as a whole number."""
-    line = F.when(col(threshold) != 0, col(threshold).cast("bigint").cast("string"))
+    """First 20 hex digits of SHA-1 over the eight fields; a whole threshold is written without decimals, any other
+    with all of them."""
+    number = col(threshold).cast("double")
+    whole = F.when(number == F.floor(number), number.cast("bigint").cast("string"))
+    line = F.when(number != 0, F.coalesce(whole, number.cast("string")))
     parts = [date, bookmaker, market, stat, line, player, team, opponent]
     text = [F.coalesce(col(p).cast("string"), F.lit("")) for p in parts]
     return F.substring(F.sha1(F.concat_ws("|", *text).cast("binary")), 1, 20)

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from foretide.session import CHUNK_ROWS, HOT_ROWS, setting, stable
 
-# At most this many keys are treated as hot, so the list of them is always small enough to broadcast.
-MAX_HOT_KEYS = 20_000
+# Up to this many hot keys are broadcast; more are joined by a shuffle, whose large partitions Spark splits.
+BROADCAST_KEYS = 20_000
 
 _CHUNK, _POS, _BLOCK, _HOME = "__ord_chunk", "__ord_pos", "__ord_block", "__ord_home"
 
@@ -85,16 +85,17 @@ class HotKeys:
     """Keys that hold too many rows for one task. Valid for any finer key that contains `keys`."""
 
     keys: tuple[str, ...]
-    rows: tuple = ()
+    found: int = 0
     total: int = 0
-    schema: object = None
+    listed: DataFrame | None = None
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(rows of hot keys, all other rows). The list is bounded by MAX_HOT_KEYS."""
+        """(rows of hot keys, all other rows)."""
         if not self.keys:
             return df, df.limit(0)
         names = [f"__hot_{k}" for k in self.keys]
-        listed = F.broadcast(df.sparkSession.createDataFrame(list(self.rows), self.schema).toDF(*names))
+        listed = self.listed.toDF(*names)
+        listed = F.broadcast(listed) if self.found <= BROADCAST_KEYS else listed
         same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(F.col(n)) for k, n in zip(self.keys, names)])
         return df.join(listed, same, "left_semi"), df.join(listed, same, "left_anti")
 
@@ -104,20 +105,11 @@ def find_hot(df: DataFrame, keys: list[str]) -> HotKeys:
     limit = setting(df.sparkSession, HOT_ROWS)
     if not keys:
         n = df.count()
-        return HotKeys((), ((),) if n > limit else (), n)
+        return HotKeys((), int(n > limit), n)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
-    if largest is None or largest <= limit:
-        return HotKeys(tuple(keys))
-    floor = max(limit, total // MAX_HOT_KEYS)
-    hot = counts.filter(F.col("__n") > floor)
-    found = hot.collect()  # fewer than MAX_HOT_KEYS rows, since each holds over total / MAX_HOT_KEYS
-    return HotKeys(
-        tuple(keys),
-        tuple(tuple(r[k] for k in keys) for r in found),
-        sum(r["__n"] for r in found),
-        df.select(*keys).schema,
-    )
+    hot = stable(counts.filter(F.col("__n") > limit))  # few rows: each stands for more than `limit`
+    found, total = hot.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    return HotKeys(tuple(keys), found, total or 0, hot.select(*keys))
 
 
 # ------------------------------------------------------------------ the operator
@@ -127,7 +119,7 @@ def over_order(df: DataFrame, keys, order, frames: list[Frame], hot: HotKeys | N
     """Add one column per frame, computed over the rows of each key in the given order."""
     keys, order = list(keys), _order(order)
     hot = find_hot(df, keys) if hot is None else hot
-    if not hot.rows:
+    if not hot.found:
         return _plain(df, keys, order, frames)
     hot_rows, cold_rows = hot.split(df)
     done = _chunked(hot_rows, keys, order, frames, hot.total)

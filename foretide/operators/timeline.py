@@ -138,7 +138,7 @@ def previous_season_means(df, keys, season, means: dict[str, str], count: tuple[
         seen = F.count(counted).over(w)
         return part.withColumns(found | {name: F.when(seen > 0, seen)})
 
-    if not hot.rows:
+    if not hot.found:
         return by_range(df)
     hot_rows, cold_rows = hot.split(df)
     summary = (

@@ -265,13 +265,13 @@ def rule_violations(spark, folder):
     return _rules.of(Q.violations(rows, {"missing_k": F.col("kk").isNull(), "negative": F.col("value") < 5, "empty_type": F.trim("event_type") == ""}))
 
 
-_audit = Shape(whole="c_custkey")
+_audit = Shape(whole="o_orderkey")
 
 
-@query("missing_dimension_audit", f"WITH a AS (SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)) SELECT {_audit.sql} FROM a")
+@query("missing_dimension_audit", f"WITH a AS (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) SELECT {_audit.sql} FROM a")
 def missing_dimension_audit(spark, folder):
-    seen = L.read(spark, folder, "orders").filter(F.col("o_totalprice") > 200000).select(F.col("o_custkey").alias("c_custkey"))
-    return _audit.of(Q.missing_from(L.read(spark, folder, "customer"), seen, "c_custkey"))
+    seen = L.read(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return _audit.of(Q.missing_from(L.read(spark, folder, "orders"), seen, "o_orderkey"))
 
 
 _prof = Shape(whole="rows filled distinct_values", text="column_name least greatest")

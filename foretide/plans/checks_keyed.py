@@ -46,31 +46,32 @@ _src = Shape(whole="user_id source_priority", real="value", text="day")
 
 @query(
     "source_priority_union",
-    f"""WITH a AS (SELECT user_id, CAST(ts AS DATE) AS day, max(value) AS value, 1 AS source_priority FROM events WHERE event_type = 'view' GROUP BY 1, 2),
-    b AS (SELECT user_id, CAST(ts AS DATE) AS day, min(value) AS value, 2 AS source_priority FROM events WHERE event_type = 'click' GROUP BY 1, 2),
+    f"""WITH a AS (SELECT user_id, CAST(ts AS DATE) AS day, max(value) AS value, 1 AS source_priority FROM events WHERE event_type IN ('view', 'signup', 'purchase') GROUP BY 1, 2),
+    b AS (SELECT user_id, CAST(ts AS DATE) AS day, min(value) AS value, 2 AS source_priority FROM events WHERE event_type NOT IN ('view', 'signup', 'purchase') GROUP BY 1, 2),
     u AS (SELECT * FROM a UNION ALL SELECT * FROM b),
     r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day DESC, source_priority DESC) AS n FROM u) SELECT {_src.sql} FROM r WHERE n = 1""",
 )
 def source_priority_union(spark, folder):
     rows = L.read(spark, folder, "events").withColumn("day", F.to_date("ts"))
-    part = lambda kind, best: rows.filter(F.col("event_type") == kind).groupBy("user_id", "day").agg(best("value").alias("value"))
-    return _src.of(K.combine_sources(part("view", F.max), part("click", F.min), ["user_id"], ["day"]))
+    wanted = F.col("event_type").isin("view", "signup", "purchase")
+    part = lambda kind, best: rows.filter(kind).groupBy("user_id", "day").agg(best("value").alias("value"))
+    return _src.of(K.combine_sources(part(wanted, F.max), part(~wanted, F.min), ["user_id"], ["day"]))
 
 
 _up = Shape(whole="o_custkey o_orderkey", real="o_totalprice", text="day")
 _HALVES = """stored AS (SELECT o_custkey, o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS day, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n
-      FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+      FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' OR o_custkey % 2 = 1),
     batch AS (SELECT o_custkey, o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS day, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n
       FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_custkey % 2 = 0),
     old AS (SELECT * EXCLUDE (n) FROM stored WHERE n = 1), new AS (SELECT * EXCLUDE (n) FROM batch WHERE n = 1)"""
 
 
 def _halves(spark, folder):
-    """(stored, batch): latest order per customer before 1998, and of even customers since."""
+    """(stored, batch): latest order per even customer since 1998 is the batch, that of all other orders is stored."""
     rows = _orders(spark, folder).select("o_custkey", "o_orderkey", "o_totalprice", "day")
-    cut = F.lit("1998-01-01").cast("date")
+    new = (F.col("day") >= F.lit("1998-01-01").cast("date")) & (F.col("o_custkey") % 2 == 0)
     last = lambda df: K.keep_last(df, ["o_custkey"], ["day", "o_orderkey"])
-    return last(rows.filter(F.col("day") < cut)), last(rows.filter((F.col("day") >= cut) & (F.col("o_custkey") % 2 == 0)))
+    return last(rows.filter(~new)), last(rows.filter(new))
 
 
 @query("upsert_last_wins", f"WITH {_HALVES}, u AS (SELECT * FROM new UNION ALL SELECT * FROM old WHERE o_custkey NOT IN (SELECT o_custkey FROM new)) SELECT {_up.sql} FROM u")

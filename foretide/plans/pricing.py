@@ -14,9 +14,10 @@ from foretide.operators.matching import Matches, match_rows, prepare_odds, prepa
 from foretide.operators.ordered import keep_first, rank_rows
 
 
-def priced_edges(predictions: DataFrame, odds: DataFrame, run_date: str, fuzzy: bool = True) -> tuple[DataFrame, Matches]:
+def priced_edges(predictions: DataFrame, odds: DataFrame, run_date: str, fuzzy: bool = True,
+                 by_day: bool | None = None) -> tuple[DataFrame, Matches]:
     """Match predictions to prices and price each match. Optional prediction flags are carried along."""
-    result = match_rows(prepare_predictions(predictions), prepare_odds(odds), fuzzy=fuzzy)
+    result = match_rows(prepare_predictions(predictions), prepare_odds(odds), fuzzy=fuzzy, by_day=by_day)
     return edge_rows(result.matched, run_date), result
 
 
@@ -177,7 +178,7 @@ def settle(history: DataFrame, stats: DataFrame, run_date: str, settled_at: str)
     settled = looked_up.filter(F.col("actual_stat_value").isNotNull())
     unresolved = looked_up.filter(F.col("actual_stat_value").isNull())
     # One change row per bet: a bet listed under two matches of one id would otherwise multiply rows.
-    changes = keep_first(settled, ["bet_id", "id_match", "id_joueur"], ["run_date"]).select(
+    changes = keep_first(settled, ["bet_id", "id_match", "id_joueur"], ["run_date", "threshold", "outcome_key"]).select(
         "bet_id", "id_match", "id_joueur", "actual_stat_value", "result",
         F.lit("settled").alias("bet_status"), F.lit(settled_at).alias("settled_at"),
     )

@@ -44,7 +44,7 @@ def same(a, b):
 def test_split_keys_give_the_same_frames(spark, rows, tiny_keys):
     plain = O.over_order(rows, ["k"], ["d", "i"], frames(), O.HotKeys(("k",)))
     hot = O.find_hot(rows, ["k"])
-    assert {r[0] for r in hot.rows} == {0, 1, 2, None}
+    assert {r[0] for r in hot.listed.collect()} == {0, 1, 2, None}
     same(O.over_order(rows, ["k"], ["d", "i"], frames(), hot), plain)
 
 

@@ -41,7 +41,7 @@ def test_two_season_streaks_match_a_rescan(spark, tiny_keys, hot):
             data.append((player, i, season, hit, "x"))
     df = spark.createDataFrame(data, "p int, i int, s int, hit int, extra string")
     keys = find_hot(df, ["p"]) if hot else HotKeys(("p",))
-    assert bool(keys.rows) == hot
+    assert bool(keys.found) == hot
     got = T.two_season_streaks(df, ["p"], ["i"], "s", "hit", NAMES, 5, keys)
     assert {(r["p"], r["i"]): tuple(r[n] for n in NAMES) for r in got.collect()} == expected
 
@@ -129,7 +129,7 @@ def test_later_results_do_not_reach_earlier_features(spark):
 def test_player_features_on_split_players(spark, tiny_keys):
     base = P.canonical_base(season(spark, n=24))
     hot = find_hot(base, ["id_joueur"])
-    assert len(hot.rows) == 3 and hot.total == 72
+    assert hot.found == 3 and hot.total == 72
     for block in (P.player_form, P.season_to_date):
         assert table(block(base, hot)) == table(block(base, HotKeys(("id_joueur",))))
 
