@@ -133,8 +133,9 @@ class Shingles:
             kept = dict(islice(known.items(), KNOWN // 2))
             known.clear()
             known.update(kept)
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in words:
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         n = min(self.words, len(words))
         run = np.zeros(len(words) - n + 1, np.uint64)
