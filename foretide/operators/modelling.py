@@ -21,6 +21,10 @@ from foretide.operators.ordered import find_hot, rank_rows
 from foretide.session import stable
 
 
+# Training rows of one partition: a pass over fewer takes less time than the start of a task.
+PARTITION_ROWS = 50_000
+
+
 def feature_matrix(df: DataFrame, features, fills: dict | None = None, medians_of: DataFrame | None = None) -> DataFrame:
     """Features as doubles without infinities.
 
@@ -61,8 +65,10 @@ def fit_trees(train: DataFrame, features, target: str = fixed.TARGET, weighted:
     inputs = kept + Q.useful_features(ready, [f"{c}__missing" for c in kept], at_least=0)
     if weighted:
         ready = M.class_weights(ready, "__label", "__weight")
-    # The training rows are read once per boosting round: write them once instead of recomputing.
+    # The training rows are read several times per boosting round: write them once instead of recomputing, in no more
+    # partitions than they fill.
     ready = stable(ready.select("__label", *inputs, *(["__weight"] if weighted else [])))
+    ready = ready.coalesce(ready.count() // PARTITION_ROWS + 1)
     trees = GBTClassifier(
         featuresCol="__features", labelCol="__label", maxIter=rounds, maxDepth=depth, stepSize=rate,
         minInstancesPerNode=least_rows, seed=seed, checkpointInterval=10,

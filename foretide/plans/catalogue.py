@@ -59,6 +59,6 @@ def load() -> None:
         checks_documents,
         checks_features,
         checks_keyed,
-        checks_models,
         checks_pricing,
     )
+    from foretide.plans import checks_models  # noqa: F401, I001  the longest queries come last
