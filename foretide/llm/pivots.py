@@ -28,6 +28,22 @@ SHARED = 3  # of them two candidates have in common
 BLOCK = 1024
 
 
+def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors of length one. They are scaled by their greatest component first, so that neither tiny nor huge ones
+    leave the range of doubles."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = batch.column("v")
+        sizes = np.diff(column.offsets.to_numpy())
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        starts = np.cumsum(sizes) - sizes
+        flat = flat / np.repeat(np.maximum.reduceat(np.abs(flat), starts), sizes)
+        flat = flat / np.repeat(np.sqrt(np.add.reduceat(flat * flat, starts)), sizes)
+        ends = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.ListArray.from_arrays(ends, pa.array(flat))], batch.schema.names)
+
+
 def _described(nodes: DataFrame, pivots: np.ndarray, size: int) -> DataFrame:
     """nodes with `near`, the numbers of the nearest pivots, nearest first."""
     many = min(NEAREST, len(pivots))
@@ -102,16 +118,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shared: int = SH
     """
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
-        F.transform("embedding", lambda x: x.cast("double")).alias("e"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("v"),
     )
-    usable_ = usable("e") & F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.exists("e", lambda x: x != 0)
-    # Scaled by the greatest component first: neither tiny nor huge vectors leave the range of doubles.
-    top = F.array_max(F.transform("e", F.abs))
-    rows = rows.withColumn("e", F.when(usable_, F.transform("e", lambda x: x / top)))
-    norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x))
-    rows = rows.withColumn("norm", norm).withColumn("v", F.transform("e", lambda x: x / F.col("norm")))
-    rows = rows.select("vec_id", "label", "v")
-    fine = rows.where("v is not null")
+    linking = usable("v") & F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.exists("v", lambda x: x != 0)
+    fine = rows.where(linking).mapInArrow(_unit, "vec_id long, label long, v array<double>")
+    rows = fine.unionByName(rows.where(~linking).withColumn("v", F.lit(None).cast("array<double>")))
     grouped = fine.groupBy("label", "v").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least"))
     nodes = stable(grouped.withColumn("node", F.monotonically_increasing_id()))
     size, count = max(width(nodes, "v"), 1), nodes.count()
