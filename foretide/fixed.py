@@ -246,3 +246,6 @@ FORBIDDEN_FEATURES = [
     "home_road_flag", "season_source", "standings_lookup_date_pre", "hard_exclude_hot_streak_pre",
     "is_value_bet", "value_gap", "id_equipe_domicile", "id_equipe_exterieur",
 ]
+
+# FIXED VALUES: fewest usable features of a model variant.
+LEAST_FEATURES = {"baseline": 8}

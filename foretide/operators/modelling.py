@@ -56,9 +56,10 @@ class PointModel:
 
 
 def fit_trees(train: DataFrame, features, target: str = fixed.TARGET, weighted: bool = True, rounds: int = 300,
-              depth: int = 6, least_rows: int = 50, rate: float = 0.05, seed: int = 42) -> PointModel:
-    """Gradient-boosted trees on the features that vary in the training rows."""
-    kept = Q.useful_features(train.withColumns({c: S.real(F.col(c).cast("double")) for c in features}), list(features), at_least=1)
+              depth: int = 6, least_rows: int = 50, rate: float = 0.05, seed: int = 42, at_least: int = 5) -> PointModel:
+    """Gradient-boosted trees on the features that vary in the training rows: `at_least` so many, and two classes."""
+    Q.require_at_least(train, target, 2, "training rows")
+    kept = Q.useful_features(train.withColumns({c: S.real(F.col(c).cast("double")) for c in features}), list(features), at_least)
     clean = train.withColumns({c: S.real(F.col(c).cast("double")) for c in kept})
     fills = {r["column"]: r["median"] for r in M.exact_median(clean, kept).collect()}
     ready = feature_matrix(train, kept, fills).withColumn("__label", F.col(target).cast("double"))
@@ -184,7 +185,7 @@ def ablation(features: DataFrame, date: str, families=None, target: str = fixed.
     for family, columns in (families or fixed.FEATURE_FAMILIES).items():
         usable, _, _ = Q.resolve_features(parts, columns, [target])
         filled = parts.fillna({c: v for c, v in fixed.ABLATION_FILLS.items() if c in usable})
-        model = fit_trees(filled.filter("split = 'train'"), usable, target, False, rounds, depth, least_rows)
+        model = fit_trees(filled.filter("split = 'train'"), usable, target, False, rounds, depth, least_rows, at_least=1)
         scored = model.score(filled.filter("split <> 'train'"), "__p").withColumn("__p", P.clip_probability("__p"))
         tables.append(M.evaluate(scored, target, "__p", ["split"]).withColumn("family", F.lit(family)))
     out = tables[0]
@@ -202,10 +203,12 @@ def train_variants(features: DataFrame, date: str, variants=None, target: str =
     for name, wanted in (variants or {"baseline": fixed.BASELINE_FEATURES, "enrichi": fixed.ENRICHED_FEATURES}).items():
         usable, _, _ = Q.resolve_features(parts, wanted, fixed.FORBIDDEN_FEATURES)
         Q.require_no_leak(usable, fixed.FORBIDDEN_FEATURES, target, date)
+        if len(usable) < fixed.LEAST_FEATURES.get(name, 0):
+            raise Q.DataProblem(f"{name}: {len(usable)} features, need {fixed.LEAST_FEATURES[name]}")
         model = fit_trees(parts.filter("split = 'train'"), usable, target, True, **params)
         rows = model.score(parts.filter("split <> 'train'"))
         scored[name] = rows
-        tables.append(M.evaluate(rows, target, "proba_point_1p_raw", ["split"]).withColumn("model_variant", F.lit(name)))
+        tables.append(M.evaluate(rows, target, "proba_point_1p_raw", ["split"], ["id_match", "id_joueur"]).withColumn("model_variant", F.lit(name)))
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)

@@ -100,7 +100,11 @@ def test_isotonic_and_sigmoid_curves(spark):
 def test_trees_learn_and_score(spark):
     data = [(float(i % 10), None if i % 7 == 0 else float(i % 3), int(i % 10 > 5)) for i in range(300)]
     df = spark.createDataFrame(data, "a double, b double, y int")
-    model = G.fit_trees(df, ["a", "b"], "y", rounds=3, least_rows=5)
+    with pytest.raises(Q.DataProblem):
+        G.fit_trees(df, ["a", "b"], "y", rounds=3, least_rows=5)
+    with pytest.raises(Q.DataProblem):
+        G.fit_trees(df.filter("y = 1"), ["a", "b"], "y", rounds=3, least_rows=5, at_least=2)
+    model = G.fit_trees(df, ["a", "b"], "y", rounds=3, least_rows=5, at_least=2)
     got = model.score(df, "p").groupBy("y").agg(F.avg("p").alias("p")).collect()
     means = {r["y"]: r["p"] for r in got}
     assert means[1] > 0.6 > 0.4 > means[0]
