@@ -121,7 +121,7 @@ def test_quality_statistics_of_odd_texts():
         assert len(values) == len(quality.NAMES) and np.isfinite(values).all()
 
 
-def plain_profile(texts, size):
+def plain_profile(texts):
     counts = {}
     for text in texts:
         word = ""
@@ -146,7 +146,7 @@ def test_gram_counts():
     who, code, counts = language.count_grams(texts, np.arange(5))
     for i, text in enumerate(texts):
         ours = dict(zip(code[who == i].tolist(), counts[who == i].tolist(), strict=True))
-        assert ours == plain_profile([text], 0)
+        assert ours == plain_profile([text])
 
 
 def test_out_of_place_distance(spark):
@@ -158,7 +158,7 @@ def test_out_of_place_distance(spark):
     held = {}
     for r in profiles.collect():
         held.setdefault(r.lang, {})[r.gram] = r["rank"]
-    counts = plain_profile(["ab abc"], 0)
+    counts = plain_profile(["ab abc"])
     # Ties go by the kind of n-gram (one, two, three letters), then by its letters with word ends first.
     kind = lambda c: (c >= 1 << 21) + (c >= 1 << 42)
     order = sorted(counts, key=lambda c: (-counts[c], kind(c), c))[:5]

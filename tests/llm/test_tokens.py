@@ -24,7 +24,6 @@ def test_encoder_agrees_with_the_library():
     expected = [e.ids for e in library.encode_batch(odd, add_special_tokens=False)]
     assert ids == expected
     assert [own.decode(i) for i in ids] == [library.decode(i, skip_special_tokens=False) for i in expected] == odd
-    assert own.decode(own.encode(["日"])[0][:1]) != "日" or True
 
 
 def test_bounded_tables(monkeypatch):
