@@ -8,8 +8,10 @@ Jaccard similarity. Work is proportional to elements + darts, however long the s
 Equal texts count as one. Documents that share a band are candidates; a band's group is not expanded into pairs:
 
 1. every document is verified against one leader (the least document of its groups), which joins most copies;
-2. groups that still hold several classes are compared in blocks of bounded size by their signatures, and only pairs
-   of different classes whose signatures agree enough are verified.
+2. groups that still hold several classes are compared in blocks of bounded size by their signatures: each document is
+   verified against the document of every other class in the block that agrees with it most;
+3. in groups that even then hold several classes, all pairs of different classes whose signatures agree enough are
+   verified, so that no link is lost.
 
 Verification is the exact Jaccard similarity of the sets of five-word shingles.
 """
@@ -217,8 +219,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _across(members: DataFrame, classes: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of different classes within a group whose sketches agree enough, compared block by block."""
+def _across(members: DataFrame, classes: DataFrame, sketches: DataFrame, best: bool) -> DataFrame:
+    """Pairs of different classes within a group whose sketches agree enough, compared block by block. With `best`
+    each document is only paired with the one of every other class that agrees most."""
     owned = members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
     spread = owned.groupBy("bucket").agg(F.min("class").alias("p"), F.max("class").alias("q"), F.count("*").alias("n"))
     spread = spread.where("p < q").select("bucket", F.expr(f"(n + {BLOCK - 1}) div {BLOCK}").alias("blocks"))
@@ -235,8 +238,13 @@ def _across(members: DataFrame, classes: DataFrame, sketches: DataFrame) -> Data
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         a, b = [], []
         for row in left:
-            near = right[((sketch[right] == sketch[row]).mean(1) >= AGREEMENT) & (owner[right] != owner[row])]
-            near = near[node[near] > node[row]] if i == j else near
+            same = (sketch[right] == sketch[row]).mean(1)
+            at = np.flatnonzero((same >= AGREEMENT) & (owner[right] != owner[row]))
+            if best:
+                at = at[np.argsort(-same[at], kind="stable")]
+                at = at[np.unique(owner[right[at]], return_index=True)[1]]
+            near = right[at]
+            near = near[node[near] > node[row]] if i == j and not best else near
             a.append(np.full(len(near), node[row]))
             b.append(node[near])
         none = [np.zeros(0, np.int64)]
@@ -266,8 +274,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS)
     sets = stable(_sets(docs, members.select("node").distinct(), words))
     first = members.where("node > leader").groupBy("node").agg(F.min("leader").alias("b")).withColumnRenamed("node", "a")
     links = stable(_linked(_agreeing(first, sketches), sets, similarity))
-    across = stable(_across(members.select("bucket", "node").distinct(), components(links), sketches))
-    links = links.union(_linked(across, sets, similarity))
+    members = members.select("bucket", "node").distinct()
+    for best in (True, False):
+        across = stable(_across(members, components(links), sketches, best))
+        links = stable(links.union(_linked(across, sets, similarity)))
     edges = links.select("a", "b").union(copies.toDF("a", "b"))
     found = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(found, "doc_id", "left")
