@@ -55,17 +55,16 @@ def without_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     A character that loses some of its bytes goes as a whole.
     """
-    found = suffix.removed(docs.select("doc_id", "text")).where(F.size("starts") > 0)
-    found = suffix.readable(found.select("doc_id", "hash", "kept").dropDuplicates(["doc_id", "hash"]))
-    found = found.select(F.col("doc_id").alias("i"), F.col("hash").alias("h"), "kept")
-    whole = _whole(docs).withColumn("hash", F.xxhash64("text"))
-    both = whole.join(found, (F.col("doc_id") == F.col("i")) & (F.col("hash") == F.col("h")), "left")
-    both = both.where(F.col("i").isNull() | (F.col("kept") != ""))
-    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
-    return both.select(*[
-        F.when(F.col("i").isNotNull(), new[c]).otherwise(F.col("row").getField(c)).alias(c) if c in new else F.col("row").getField(c).alias(c)
-        for c in docs.columns
-    ])
+    found = suffix.readable(suffix.removed(docs).select("doc_id", (F.size("starts") > 0).alias("cut"), "kept", "row"))
+    found = found.where(~F.col("cut") | (F.col("kept") != ""))
+    row = lambda c: F.col("row").getField(c)
+    columns = {c: row(c) for c in docs.columns} | {
+        "doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType),
+        "text": F.when(row("has_text"), F.col("kept")),
+    }
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.col("cut"), F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(row("n_chars"))
+    return found.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

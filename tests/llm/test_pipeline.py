@@ -36,6 +36,9 @@ def corpus(spark):
     for k in range(1, 400, 7):
         rows[k] = (rows[k][0], rows[k][1] + "\n" + passage + " " + str(k))
     rows += [(500, rows[3][1]), (501, rows[4][1] + " end"), (502, None), (503, ""), (504, rows[7][1].upper())]
+    long = [f"n{r.randrange(500)}" for _ in range(200)]
+    other = ["changed" if k in (50, 150) else w for k, w in enumerate(long)]
+    rows += [(k, " ".join(w[:100]) + "\n" + " ".join(w[100:])) for k, w in ((505, long), (506, other))]
     return rows, labels
 
 
@@ -63,7 +66,7 @@ def test_whole_pipeline_against_brute_force(spark, tmp_path):
         elif text:
             kept.append((i, text))
     assert sorted((r.doc_id, r.text or "") for r in held.collect()) == sorted((i, t or "") for i, t in kept)
-    assert 500 not in {i for i, _ in kept} and 501 not in {i for i, _ in kept} and {502, 503} <= {i for i, _ in kept}
+    assert {500, 506}.isdisjoint(i for i, _ in kept) and {502, 503, 505} <= {i for i, _ in kept}
     library = Tokenizer.from_file(PATH)
     sizes = {i: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in kept}
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
