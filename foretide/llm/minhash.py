@@ -8,10 +8,9 @@ Jaccard similarity. Work is proportional to elements + darts, however long the s
 Equal texts count as one. Documents that share a band are candidates; a band's group is not expanded into pairs:
 
 1. every document is verified against one leader (the least document of its groups), which joins most copies;
-2. groups that still hold several classes are compared in blocks of bounded size by their signatures: each document is
-   verified against the document of every other class in the block that agrees with it most;
-3. in groups that even then hold several classes, all pairs of different classes whose signatures agree enough are
-   verified, so that no link is lost.
+2. the rows of groups that still hold several classes are compared by their signatures, in blocks of bounded size; a
+   pair of different classes that agrees enough is verified there and then, each pair in the first band it shares.
+   Tasks return the links that joined classes, never all pairs.
 
 Verification is the exact Jaccard similarity of the sets of five-word shingles.
 """
@@ -37,7 +36,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 # A pair whose signatures agree in a smaller share is refuted; at 0.8 that is 4.5 standard deviations.
 AGREEMENT = SIMILARITY - 4.5 * (SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS)) ** 0.5
-BLOCK = 1024
+BLOCK = 1024  # rows of a large group that one task compares with as many others
+TASK_BYTES = 4 << 20  # shingles of the small groups of one task
 KNOWN = 300_000
 _CELLS = 400_000  # cells per numpy step
 _POISSON = np.cumsum([0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320, 362880)])
@@ -219,39 +219,86 @@ def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _across(members: DataFrame, classes: DataFrame, sketches: DataFrame, best: bool) -> DataFrame:
-    """Pairs of different classes within a group whose sketches agree enough, compared block by block. With `best`
-    each document is only paired with the one of every other class that agrees most."""
+class Labels:
+    """Classes joined within one task."""
+
+    def __init__(self, owner: np.ndarray):
+        names, self.of = np.unique(owner, return_inverse=True)
+        self.parent = list(range(len(names)))
+
+    def root(self, label: int) -> int:
+        while self.parent[label] != label:
+            self.parent[label] = self.parent[self.parent[label]]
+            label = self.parent[label]
+        return label
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _compare(similarity: float):
+    """Links between classes among the rows of one task: whole groups, or one pair of blocks of a large group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("bucket")
+        bucket, node, owner, block = (table.column(c).to_numpy() for c in ("bucket", "node", "class", "block"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+        bands = np.stack(table.column("bands").to_pylist())
+        held = [np.frombuffer(x, np.uint32) for x in table.column("shingles").to_pylist()]
+        size = np.array([len(x) for x in held])
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        labels, links = Labels(owner), []
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        for a, b in zip(starts, np.r_[starts[1:], len(bucket)], strict=True):
+            at = np.arange(a, b)
+            left, right = at[block[a:b] == i], at[block[a:b] == j]
+            band = int(np.flatnonzero(bands[a] == bucket[a])[0])
+            for row in left:
+                others = right[node[right] > node[row]] if i == j else right
+                # A pair that shares an earlier band is compared there.
+                others = others[~(bands[others, :band] == bands[row, :band]).any(1)]
+                same = (sketch[others] == sketch[row]).mean(1)
+                order = np.argsort(-same, kind="stable")
+                others = others[order][same[order] >= AGREEMENT]
+                while len(others):
+                    mine = labels.root(labels.of[row])
+                    others = others[[labels.root(labels.of[o]) != mine for o in others]]
+                    some, others = others[:32], others[32:]
+                    if not len(some):
+                        break
+                    near = np.concatenate([held[o] for o in some])
+                    hit = held[row][np.minimum(np.searchsorted(held[row], near), size[row] - 1)] == near
+                    common = np.add.reduceat(hit, np.cumsum(size[some]) - size[some], dtype=np.int64)
+                    for o in some[common >= similarity * (size[row] + size[some] - common)]:
+                        if labels.join(labels.of[row], labels.of[o]):
+                            links.append((min(node[row], node[o]), max(node[row], node[o])))
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return run
+
+
+def _links_across(members: DataFrame, classes: DataFrame, sketches: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join the classes that meet in a group, verified where the rows are compared.
+
+    Small groups share a task; a large one is cut into blocks, and block i meets block j >= i in a task of its own, so
+    each row goes to as many tasks as its group has blocks.
+    """
     owned = members.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node"))
     spread = owned.groupBy("bucket").agg(F.min("class").alias("p"), F.max("class").alias("q"), F.count("*").alias("n"))
     spread = spread.where("p < q").select("bucket", F.expr(f"(n + {BLOCK - 1}) div {BLOCK}").alias("blocks"))
-    rows = owned.select("bucket", "node", "class").join(spread, "bucket").join(sketches, "node")
+    rows = stable(owned.select("bucket", "node", "class").join(spread, "bucket"))
+    weighed = rows.join(sets.select("node", F.octet_length("shingles").alias("w")), "node").agg(F.sum("w")).first()[0] or 0
+    parts = weighed // TASK_BYTES + 1
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-    # Block i meets block j >= i in task (i, j): each row goes to as many tasks as its group has blocks.
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-
-    def compare(table: pa.Table) -> pa.Table:
-        node, owner, block = (table.column(c).to_numpy() for c in ("node", "class", "block"))
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = [], []
-        for row in left:
-            same = (sketch[right] == sketch[row]).mean(1)
-            at = np.flatnonzero((same >= AGREEMENT) & (owner[right] != owner[row]))
-            if best:
-                at = at[np.argsort(-same[at], kind="stable")]
-                at = at[np.unique(owner[right[at]], return_index=True)[1]]
-            near = right[at]
-            near = near[node[near] > node[row]] if i == j and not best else near
-            a.append(np.full(len(near), node[row]))
-            b.append(node[near])
-        none = [np.zeros(0, np.int64)]
-        a, b = np.concatenate(a or none).astype(np.int64), np.concatenate(b or none).astype(np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return rows.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    alone = F.col("blocks") > 1
+    rows = rows.withColumn("part", F.when(alone, F.col("bucket")).otherwise(F.pmod(F.xxhash64("bucket"), F.lit(parts))))
+    rows = rows.withColumn("alone", alone).join(sketches, "node").join(sets, "node").drop("blocks", "other")
+    return rows.groupBy("part", "alone", "i", "j").applyInArrow(_compare(similarity), "a long, b long")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
@@ -267,17 +314,15 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS)
     # A content's least document stands for it.
     texts = signed.join(content.withColumnRenamed("node", "doc_id"), ["content", "doc_id"], "left_semi")
     texts = texts.dropDuplicates(["doc_id", "content"]).withColumnRenamed("doc_id", "node")
-    sketches = stable(texts.select("node", "sketch"))
-    banded = texts.select("node", F.explode("bands").alias("bucket"))
+    sketches = stable(texts.select("node", "sketch", "bands"))
+    banded = sketches.select("node", F.explode("bands").alias("bucket"))
     groups = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
     members = stable(banded.join(groups.drop("n"), "bucket"))
     sets = stable(_sets(docs, members.select("node").distinct(), words))
     first = members.where("node > leader").groupBy("node").agg(F.min("leader").alias("b")).withColumnRenamed("node", "a")
     links = stable(_linked(_agreeing(first, sketches), sets, similarity))
     members = members.select("bucket", "node").distinct()
-    for best in (True, False):
-        across = stable(_across(members, components(links), sketches, best))
-        links = stable(links.union(_linked(across, sets, similarity)))
+    links = links.union(_links_across(members, components(links), sketches, sets, similarity))
     edges = links.select("a", "b").union(copies.toDF("a", "b"))
     found = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(found, "doc_id", "left")
