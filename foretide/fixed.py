@@ -177,7 +177,6 @@ MAX_PICKS = 10
 
 # ---- FIXED VALUES: model features ------------------------------------------------------------
 TARGET = "a_marque_un_point"
-GOAL_TARGET = "a_marque_un_but"
 
 CORE_FEATURES = [
     "is_home_player", "jours_repos", "nb_matchs_avant_match", "nb_matchs_joues_10", "tirs_moy_5",

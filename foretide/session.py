@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 HOT_ROWS = ("foretide.hot.rows", 5_000_000)
 # Rows one task gets from a split key.
 CHUNK_ROWS = ("foretide.chunk.rows", 1_000_000)
-# Rows up to which a side may be broadcast once it has been counted.
-SMALL_ROWS = ("foretide.small.rows", 100_000)
 
 
 def local_session(cores: str = "*", memory: str = "8g") -> SparkSession:
