@@ -8,7 +8,6 @@ into runs of equal windows and is small whatever the corpus holds. Pieces find t
 
 from __future__ import annotations
 
-import json
 import re
 import zlib
 from collections import defaultdict, deque
