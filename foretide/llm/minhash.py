@@ -37,7 +37,8 @@ BANDS, ROWS = 24, 4
 # A pair whose signatures agree in a smaller share is refuted; at 0.8 that is 4.5 standard deviations.
 AGREEMENT = SIMILARITY - 4.5 * (SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS)) ** 0.5
 BLOCK = 1024  # rows of a large group that one task compares with as many others
-TASK_BYTES = 4 << 20  # shingles of the small groups of one task
+TASK_BYTES = 4 << 20  # shingles and ROW_BYTES a row of the small groups of one task
+ROW_BYTES = 1000
 KNOWN = 300_000
 _CELLS = 400_000  # cells per numpy step
 _POISSON = np.cumsum([0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320, 362880)])
@@ -245,7 +246,7 @@ def _compare(similarity: float):
         table = table.sort_by("bucket")
         bucket, node, owner, block = (table.column(c).to_numpy() for c in ("bucket", "node", "class", "block"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
-        bands = np.stack(table.column("bands").to_pylist())
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
         held = [np.frombuffer(x, np.uint32) for x in table.column("shingles").to_pylist()]
         size = np.array([len(x) for x in held])
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
@@ -290,7 +291,8 @@ def _links_across(members: DataFrame, classes: DataFrame, sketches: DataFrame, s
     spread = owned.groupBy("bucket").agg(F.min("class").alias("p"), F.max("class").alias("q"), F.count("*").alias("n"))
     spread = spread.where("p < q").select("bucket", F.expr(f"(n + {BLOCK - 1}) div {BLOCK}").alias("blocks"))
     rows = stable(owned.select("bucket", "node", "class").join(spread, "bucket"))
-    weighed = rows.join(sets.select("node", F.octet_length("shingles").alias("w")), "node").agg(F.sum("w")).first()[0] or 0
+    weighed = rows.join(sets.select("node", (F.octet_length("shingles") + ROW_BYTES).alias("w")), "node")
+    weighed = weighed.agg(F.sum("w")).first()[0] or 0
     parts = weighed // TASK_BYTES + 1
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
