@@ -1,6 +1,6 @@
 """Near-duplicate embeddings by a pivot-permutation index.
 
-Reference points (pivots) are a bounded sample of the vectors. Every vector is described by its nearest pivots in
+Reference points (pivots) are a bounded sample of the vectors, thinned until none is near another. Every vector is described by its nearest pivots in
 order and stands in the inverted list of each. Vectors that share enough of their nearest pivots are candidates and
 are verified by their cosine. A pair is treated in the list of its first shared pivot only; long lists are compared
 in blocks, so no task holds a whole list, and tasks return counts and joining edges, never pairs. Equal vectors
@@ -23,6 +23,9 @@ from foretide.session import stable
 COSINE = 0.93
 # Pivots: twice the root of the number of vectors, within these bounds; those of smallest hash.
 FEWEST, MOST = 64, 2048
+# Pivots this close count as one: else those inside a large group are the nearest of all its members, whose order of them
+# follows their own small deviations.
+APART = 0.7
 NEAREST = 12  # pivots that describe a vector
 SHARED = 3  # of them two candidates have in common
 BLOCK = 1024
@@ -44,6 +47,17 @@ def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.ListArray.from_arrays(ends, pa.array(flat))], batch.schema.names)
 
 
+def _thinned(pivots: np.ndarray) -> np.ndarray:
+    """The pivots that no earlier kept one is near to."""
+    kept, free = [], np.ones(len(pivots), bool)
+    for k in range(len(pivots)):
+        if free[k]:
+            kept.append(k)
+            free &= pivots @ pivots[k] < APART
+    # Where every vector would stand in every list, one list holds all pairs.
+    return pivots[kept if len(kept) > NEAREST else kept[:1]]
+
+
 def _described(nodes: DataFrame, pivots: np.ndarray, size: int) -> DataFrame:
     """nodes with `near`, the numbers of the nearest pivots, nearest first."""
     many = min(NEAREST, len(pivots))
@@ -128,7 +142,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, shared: int = SH
     size, count = max(width(nodes, "v"), 1), nodes.count()
     many = int(min(MOST, max(FEWEST, 2 * count**0.5)))
     chosen = nodes.orderBy(F.xxhash64("v"), "node").limit(many).select("v").toArrow()
-    pivots = matrix(chosen.column("v"), size) if chosen.num_rows else np.zeros((1, size))
+    pivots = _thinned(matrix(chosen.column("v"), size)) if chosen.num_rows else np.zeros((1, size))
     near = _described(nodes.select("node", "label", "weight", "v"), pivots, size)
     listed = stable(near).withColumn("pivot", F.explode("near"))
     sizes = listed.groupBy("label", "pivot").agg(F.expr(f"(count(*) + {BLOCK - 1}) div {BLOCK}").alias("blocks"), F.count("*").alias("n"))

@@ -62,6 +62,21 @@ def test_near_duplicates(spark, monkeypatch, block):
             assert r.kept == (r.vec_id == r.component_id)
 
 
+def test_large_group_of_near_vectors(spark):
+    """A third of the vectors in one group of pairwise cosine about 0.95, and all of them."""
+    r = np.random.default_rng(5)
+    for many, group in ((1800, 600), (900, 900)):
+        x = r.normal(size=(many, 64)) / 8
+        x[:group] = 0.95**0.5 * x[0] / np.linalg.norm(x[0]) + 0.05**0.5 * x[:group]
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+        link = x @ x.T >= 0.93
+        np.fill_diagonal(link, False)
+        found = pivots.near_duplicates(df.repartition(3)).collect()
+        assert link.sum() > 0.5 * group**2
+        assert link.sum() >= sum(r.n_links for r in found) >= 0.99 * link.sum()
+
+
 @pytest.mark.parametrize(("block", "queries"), [(8192, 2048), (100, 3)])
 def test_top_products(spark, monkeypatch, block, queries):
     monkeypatch.setattr(topk, "BLOCK", block)
