@@ -2,7 +2,7 @@
 
 Labels say only whether a document is toxic. Token labels come from words and word beginnings that, by a bounded
 sample of labelled documents, stand almost only in toxic ones; they must occur after several different words, so that
-copies of one document count once. The field (states clean and toxic, weights per word and beginning, transitions) is
+copies of one document count once: fewer words where few documents are toxic. The field (states clean and toxic, weights per word and beginning, transitions) is
 fitted on lines of that sample; forward-backward gives each token's marginal. A document's score is a logistic function
 of its greatest marginal and of the sum of its marginals; offending offsets are its tokens above one half.
 """
@@ -27,8 +27,10 @@ from foretide.session import stable
 # Labelled documents and sequences that the field is fitted on at most: those of smallest hash.
 SAMPLE = 20_000
 SEQUENCES = 8_000
-# Different preceding words, and share of toxic ones among the documents, that make a word or beginning a mark.
+# Different preceding words, and share of toxic ones among the documents, that make a word or beginning a mark. Up to 24
+# different toxic texts, a third as many preceding words do, but no fewer than the least, if two toxic documents hold it.
 CONTEXTS = 8
+LEAST_CONTEXTS = 3
 PURITY = 0.8
 # A sequence is a line, or this many words of a longer line.
 LENGTH = 128
@@ -158,15 +160,17 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "toxic",
                 ["feature", "before"],
             )
 
-    spread = sample.where("y = 1").select("text").mapInArrow(contexts, "feature string, before string")
-    spread = spread.groupBy("feature").agg(F.countDistinct("before").alias("n")).where(F.col("n") >= CONTEXTS)
-    candidates = {r.feature for r in spread.select("feature").collect()}  # of a bounded sample
+    bad = sample.where("y = 1").select("text")
+    enough = min(CONTEXTS, max(LEAST_CONTEXTS, -(-bad.select(F.xxhash64("text")).distinct().count() // 3)))
+    spread = bad.mapInArrow(contexts, "feature string, before string")
+    spread = spread.groupBy("feature").agg(F.countDistinct("before").alias("n")).where(F.col("n") >= enough)
+    candidates = {r.feature: r.n for r in spread.collect()}  # of a bounded sample
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for step in in_steps(batches):
             for y, text in zip(step.column("y").to_pylist(), step.column("text").to_pylist(), strict=True):
-                here = set(chain.from_iterable(map(features, set(text.split())))) & candidates
+                here = set(chain.from_iterable(map(features, set(text.split())))) & candidates.keys()
                 found.update((f, y) for f in here)
         yield pa.RecordBatch.from_arrays(
             [pa.array([f for f, _ in found], pa.string()), pa.array([y for _, y in found], pa.int32()),
@@ -176,7 +180,8 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "toxic",
     counted = sample.select("y", "text").mapInArrow(counts, "feature string, y int, n long")
     toxic, clean = (F.coalesce(F.sum(F.when(F.col("y") == v, F.col("n"))), F.lit(0)).alias(a) for v, a in ((1, "t"), (0, "c")))
     counted = counted.groupBy("feature").agg(toxic, clean)
-    names = sorted(r.feature for r in counted.where(F.col("t") >= PURITY * (F.col("t") + F.col("c"))).collect())
+    pure = counted.where(F.col("t") >= PURITY * (F.col("t") + F.col("c"))).collect()
+    names = sorted(r.feature for r in pure if candidates[r.feature] >= CONTEXTS or r.t > 1)
     number = {f: i for i, f in enumerate(names)}
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

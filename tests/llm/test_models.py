@@ -105,6 +105,21 @@ def test_toxic_spans(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if i % 5} | {1002, 1003, None}
 
 
+def test_few_toxic_documents(spark):
+    """Six toxic documents: no word can follow eight different ones, and one document's own repeated word is no mark."""
+    r = random.Random(4)
+    words = [a + b + c for a in "la me ti so ru na".split() for b in "ka lo vi pe da nu so".split() for c in "bcdfg"]
+    rows = [(i, " ".join(r.sample(words, 30))) for i in range(36)]
+    rows = [(i, f"{t} grumpf {words[i]}" if i % 6 == 0 else t) for i, t in rows]
+    rows[6] = (6, rows[6][1] + " laka mumbl tivi mumbl nada mumbl")
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    crf = toxicity.fit(documents(spark, rows), labels, F.lit(True))
+    assert "grumpf" in crf.weights and "mumbl" not in crf.weights
+    other = [(100, "lakab grumpf mevic"), (101, "lakab mumbl mevic"), (102, "lakab mevic")]
+    found = toxicity.score(documents(spark, rows + other), crf).collect()
+    assert all((f.score >= 0.3) == (f.doc_id == 100 or f.doc_id < 100 and f.doc_id % 6 == 0) for f in found)
+
+
 def test_without_labels_or_documents(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
     docs = documents(spark, [(1, "a b c"), (2, None), (1, "a b c"), (None, "")])
