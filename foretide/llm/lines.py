@@ -22,6 +22,10 @@ from foretide.session import stable
 RUN_LINES = 2
 # ... and so is one line alone that has this many words.
 ALONE_WORDS = 8
+# Words of a line by any white space. In scripts without spaces two Han or kana characters, or four of the others, are one.
+_PAIRS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\u3001-\u303f\u30fc\uff01-\uff65"
+_FOURS = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+_WORD = rf"(?U)[{_PAIRS}]{{1,2}}|[{_FOURS}]{{1,4}}|[^\s{_PAIRS}{_FOURS}]+"
 _AT = ["d", "t", "n"]  # document, its text's hash, line
 
 
@@ -45,14 +49,19 @@ def _ranked(suffixes: DataFrame, keys: list[str]) -> DataFrame:
     return stable(suffixes.join(placed, keys).drop(*keys))
 
 
-def repeats(docs: DataFrame, run_lines: int = RUN_LINES, alone_words: int = ALONE_WORDS) -> DataFrame:
-    """(d, t, n) of the lines to delete: those in a later copy of a repeated run."""
+def repeats(docs: DataFrame, run_lines: int = RUN_LINES, alone_words: int = ALONE_WORDS, any_space: bool = False) -> DataFrame:
+    """(d, t, n) of the lines to delete: those in a later copy of a repeated run.
+
+    Words are blanks + 1, as in the SQL twin; with `any_space` a line is also long by its words in any script.
+    """
     texts = docs.select(*_identity(F.col("doc_id"), F.col("text")), _lines(F.col("text")).alias("lines"))
     every = texts.select("d", "t", F.posexplode("lines").alias("n", "line"))
     blanks = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
+    long = blanks + 1 >= alone_words
+    if any_space:
+        long |= F.regexp_count("line", F.lit(_WORD)) >= alone_words
     every = every.select(
-        *_AT, F.xxhash64("line").alias("h"), F.xxhash64(F.lit("second"), "line").alias("g"),
-        (blanks + 1 >= alone_words).alias("long"),
+        *_AT, F.xxhash64("line").alias("h"), F.xxhash64(F.lit("second"), "line").alias("g"), long.alias("long"),
     )
     every = stable(every.distinct())  # two 64-bit hashes stand for a line
     ranks = _ranked(every, ["h", "g"])
@@ -71,9 +80,9 @@ def repeats(docs: DataFrame, run_lines: int = RUN_LINES, alone_words: int = ALON
     return alone.union(later.select("d", "t", within)).distinct()
 
 
-def marked(docs: DataFrame, run_lines: int = RUN_LINES, alone_words: int = ALONE_WORDS) -> DataFrame:
+def marked(docs: DataFrame, run_lines: int = RUN_LINES, alone_words: int = ALONE_WORDS, any_space: bool = False) -> DataFrame:
     """docs with `kept`, the text without its repeated lines, `n_lines` and `n_deleted`."""
-    gone = repeats(docs, run_lines, alone_words).groupBy("d", "t").agg(F.sort_array(F.collect_list("n")).alias("gone"))
+    gone = repeats(docs, run_lines, alone_words, any_space).groupBy("d", "t").agg(F.sort_array(F.collect_list("n")).alias("gone"))
     names = docs.columns
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     own = own.withColumns(dict(zip(("d", "t"), _identity(F.col("row.doc_id"), F.col("row.text")), strict=True)))
@@ -99,12 +108,12 @@ def marked(docs: DataFrame, run_lines: int = RUN_LINES, alone_words: int = ALONE
 
 
 def drop_repeats(docs: DataFrame, run_lines: int = RUN_LINES, alone_words: int = ALONE_WORDS) -> DataFrame:
-    """docs with their texts' repeated lines deleted; documents that lose every line go.
+    """docs with their texts' repeated lines deleted, words told by any white space; documents that lose every line go.
 
     All columns stay as they are but for `text`, and `n_chars` where there is one and a line went. A document
     without repeats, null and empty texts included, stays unchanged.
     """
-    found = marked(docs, run_lines, alone_words).where(F.col("n_deleted") < F.col("n_lines"))
+    found = marked(docs, run_lines, alone_words, any_space=True).where(F.col("n_deleted") < F.col("n_lines"))
     changed = F.col("n_deleted") > 0
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast(dict(docs.dtypes).get("n_chars", "long"))}
     return found.select(*[

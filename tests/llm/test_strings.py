@@ -116,6 +116,19 @@ def test_repeated_lines(spark, run_lines):
         assert kept == "\n".join(x for x, g in zip((t or "").split("\n"), out, strict=True) if not g)
 
 
+def test_lines_stage_counts_words_of_any_script(spark):
+    """Long lines repeated between different neighbours go whatever parts their words; short ones stay."""
+    words = "one two three four five six seven eight".split()
+    long = ["\t".join(words), "\u00a0".join(words), " \u3000".join(words), "東京都に住んでいる人々は毎朝早く、", "ภาษาไทยไม่มีการเว้นวรรคระหว่างคำในประโยค"]
+    short = ["\t".join(words[:7]), "東京都に住んでいる", "ภาษาไทยไม่มี", "x" * 90]
+    for gone, held in ((True, long), (False, short)):
+        rows = [(10 * k + i, f"before {k} {i}\n{line}\nafter {k} {i}") for k, line in enumerate(held) for i in range(3)]
+        kept = {r.doc_id: r.text for r in lines.drop_repeats(documents(spark, rows)).collect()}
+        for i, t in rows:
+            first, line, last = t.split("\n")
+            assert kept[i] == (f"{first}\n{last}" if gone and i % 10 else t)
+
+
 def test_lines_stage_keeps_columns(spark):
     docs = documents(spark)
     left = lines.drop_repeats(docs)
