@@ -248,3 +248,6 @@ FORBIDDEN_FEATURES = [
 
 # FIXED VALUES: fewest usable features of a model variant.
 LEAST_FEATURES = {"baseline": 8}
+
+# Accepted names of a table's date column, in order.
+DATE_COLUMNS = ("date_match", "game_date", "date", "match_date")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foretide import fixed
-from foretide.operators.quality import DataProblem, require_columns
+from foretide.functions.scalars import day
+from foretide.operators.quality import DataProblem, first_existing, require_columns
 
 
 def read_csv(spark: SparkSession, path: str, schema, columns=None) -> DataFrame:
@@ -34,6 +35,30 @@ def first_path(spark: SparkSession, candidates) -> str:
     raise DataProblem(f"none of {list(candidates)} exists")
 
 
+def date_range(df: DataFrame, candidates=fixed.DATE_COLUMNS):
+    """(first, last) valid day of the first of several date columns that df has."""
+    found = day(F.col(first_existing(df, candidates)).cast("string"))
+    first, last = df.agg(F.min(found), F.max(found)).first()
+    if first is None:
+        raise DataProblem("no valid day")
+    return first, last
+
+
+def first_date_range(spark: SparkSession, paths, reader, candidates=fixed.DATE_COLUMNS):
+    """date_range() of the first existing table: the finished one, else the matches."""
+    return date_range(reader(first_path(spark, paths)), candidates)
+
+
+def seasons_in_scope(seasons: DataFrame, first: int, last: int | None = None, column: str = "saison") -> DataFrame:
+    """Rows whose season lies between first and last, both included; without last up to the latest season."""
+    season = F.col(column).try_cast("long")
+    scope = season >= first if last is None else season.between(first, last)
+    found = seasons.filter(scope)
+    if found.isEmpty():
+        raise DataProblem(f"no season from {first} to {'the latest' if last is None else last}")
+    return found
+
+
 def read_optional(spark: SparkSession, path: str, reader) -> tuple[DataFrame | None, str | None]:
     """(table, None), or (None, reason) when the file is missing."""
     return (reader(path), None) if exists(spark, path) else (None, "file_missing")
