@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, language, lines, minhash, packing, pivots, quality, suffix, topk, toxicity
+from foretide.llm import bpe, language, lines, minhash, packing, pieces, pivots, quality, suffix, topk, toxicity
 from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -81,9 +82,7 @@ def op6_top_products(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_products(_read(spark, folder, "embeddings"))
 
 
-def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
-    """Ids and decoded text of every document, as digests."""
-    coded = bpe.encode(_read(spark, folder, "documents"), VOCABULARY, decoded=True)
+def _digests(coded: DataFrame) -> DataFrame:
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -92,6 +91,11 @@ def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_byte_pair(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return _digests(bpe.encode(_read(spark, folder, "documents"), VOCABULARY, decoded=True))
+
+
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return minhash.classes(_read(spark, folder, "documents"))
@@ -114,6 +118,11 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and decoded text of every document by the piece vocabulary, as digests."""
+    return _digests(pieces.encode(_read(spark, folder, "documents"), PIECES, decoded=True))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array": op1_suffix_array,
     "op2_embeddings": op2_embeddings,
@@ -125,5 +134,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_pieces": op11_pieces,
 }
 ORACLES: dict[str, str] = {"op4_lines": LINES_SQL}
