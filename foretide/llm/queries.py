@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, language, lines, minhash, packing, pieces, pivots, quality, suffix, topk, toxicity
+from foretide.llm import bpe, infill, language, lines, minhash, packing, pieces, pivots, quality, suffix, topk, toxicity
 from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -123,6 +123,34 @@ def op11_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return _digests(pieces.encode(_read(spark, folder, "documents"), PIECES, decoded=True))
 
 
+def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its middle at the end, as digests of that output and of the text rebuilt from it."""
+    return infill.digests(_read(spark, folder, "documents"))
+
+
+INFILL_SQL = """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+numbers AS (
+  SELECT doc_id, t, length(t) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM hashed),
+cuts AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+parts AS (
+  SELECT *, substring(t, 1, low) AS a, substring(t, low + 1, high - low) AS m, substring(t, high + 1) AS z FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m
+    ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array": op1_suffix_array,
     "op2_embeddings": op2_embeddings,
@@ -135,5 +163,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
     "op11_pieces": op11_pieces,
+    "op12_infill": op12_infill,
 }
-ORACLES: dict[str, str] = {"op4_lines": LINES_SQL}
+ORACLES: dict[str, str] = {"op4_lines": LINES_SQL, "op12_infill": INFILL_SQL}
