@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foretide.llm import bpe, infill, language, lines, minhash, packing, pieces, pivots, quality, suffix, topk, toxicity
+from foretide.llm import audit, bpe, infill, language, lines, minhash, packing, pieces, pivots, quality, suffix, topk, toxicity
 from foretide.llm.common import remainder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -151,6 +151,54 @@ FROM parts
 """
 
 
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove from every source, in all 120 orders."""
+    counted = audit.counters(spark, f"{folder}/documents.parquet", _read(spark, folder, "labels"))
+    return audit.interactions(counted)
+
+
+AUDIT_SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+words AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM texts),
+marks AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM words),
+flags AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+counted AS (
+  SELECT part, mask, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+  FROM marks LEFT JOIN flags USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
+bits AS (
+  SELECT filter_order, step, bit,
+    coalesce(sum(bit) OVER (PARTITION BY filter_order ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS before
+  FROM steps JOIN letters ON f = substr(filter_order, step, 1)),
+sums AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit > 0 AND mask & before = 0 AND good THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit > 0 AND mask & before = 0 AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM counted, bits GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM sums
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array": op1_suffix_array,
     "op2_embeddings": op2_embeddings,
@@ -164,5 +212,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
     "op11_pieces": op11_pieces,
     "op12_infill": op12_infill,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES: dict[str, str] = {"op4_lines": LINES_SQL, "op12_infill": INFILL_SQL}
+ORACLES: dict[str, str] = {"op4_lines": LINES_SQL, "op12_infill": INFILL_SQL, "op13_filter_audit": AUDIT_SQL}
