@@ -159,7 +159,7 @@ def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 AUDIT_SQL = r"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
-words AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM texts),
+words AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts),
 marks AS (
   SELECT doc_id, part,
     CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
