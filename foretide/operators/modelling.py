@@ -8,7 +8,6 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +16,8 @@ from foretide.functions import pricing as P
 from foretide.functions import scalars as S
 from foretide.operators import metrics as M
 from foretide.operators import quality as Q
+from foretide.operators.isotonic import fitted, pooled_blocks
+from foretide.operators.medians import exact_medians
 from foretide.operators.ordered import find_hot, rank_rows
 from foretide.session import stable
 
@@ -36,7 +37,7 @@ def feature_matrix(df: DataFrame, features, fills: dict | None = None, medians_o
     open_ = [c for c in features if c not in fills]
     if medians_of is not None and open_:
         trained = medians_of.withColumns({c: S.real(F.col(c).cast("double")) for c in open_})
-        fills |= {r["column"]: r["median"] for r in M.exact_median(trained, open_).collect()}
+        fills |= exact_medians(trained, open_)
     flags = {f"{c}__missing": F.col(c).isNull().cast("double") for c in features}
     return out.withColumns(flags).fillna({c: float(fills.get(c) or 0.0) for c in features})
 
@@ -61,7 +62,7 @@ def fit_trees(train: DataFrame, features, target: str = fixed.TARGET, weighted:
     Q.require_at_least(train, target, 2, "training rows")
     kept = Q.useful_features(train.withColumns({c: S.real(F.col(c).cast("double")) for c in features}), list(features), at_least)
     clean = train.withColumns({c: S.real(F.col(c).cast("double")) for c in kept})
-    fills = {r["column"]: r["median"] for r in M.exact_median(clean, kept).collect()}
+    fills = exact_medians(clean, kept)
     ready = feature_matrix(train, kept, fills).withColumn("__label", F.col(target).cast("double"))
     inputs = kept + Q.useful_features(ready, [f"{c}__missing" for c in kept], at_least=0)
     if weighted:
@@ -97,8 +98,8 @@ class Calibrator:
             x = P.logit(raw) if self.on_logit else F.col(raw)
             line = F.lit(self.model.coefficients[0]) * x + F.lit(self.model.intercept)
             return df.withColumn(name, P.clip_probability(1.0 / (1.0 + F.exp(-line))))
-        out = self.model.transform(df.withColumn("__x", F.col(raw)))
-        return out.withColumn(name, P.clip_probability(S.clip("__fitted", 0.0, 1.0))).drop("__x", "__fitted")
+        out = fitted(self.model, df, raw, "__fitted")
+        return out.withColumn(name, P.clip_probability(S.clip("__fitted", 0.0, 1.0))).drop("__fitted")
 
 
 def _per_score(df: DataFrame, raw: str, target: str) -> DataFrame:
@@ -119,10 +120,8 @@ def fit_sigmoid(df: DataFrame, raw: str, target: str, on_logit: bool = True) ->
 
 
 def fit_isotonic(df: DataFrame, raw: str, target: str) -> Calibrator:
-    """Non-decreasing step curve through the scores; flat beyond the fitted range."""
-    rows = _per_score(df, raw, target).withColumn("__x", F.col("__raw"))
-    steps = IsotonicRegression(featuresCol="__x", labelCol="__label", weightCol="__weight", predictionCol="__fitted")
-    return Calibrator("isotonic", model=steps.fit(rows))
+    """Non-decreasing step curve through the scores; flat beyond the fitted range. The model is a table of blocks."""
+    return Calibrator("isotonic", model=pooled_blocks(df, raw, target))
 
 
 def fit_calibrator(method: str, df: DataFrame, raw: str, target: str) -> Calibrator:
