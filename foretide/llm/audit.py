@@ -48,11 +48,6 @@ _DOCUMENT = "doc_id long, text string, source string"
 _CHANGE = "key binary, mask int, low long, part string, good boolean, toxic boolean, at_low long, above long, apart long"
 _COUNTER = "part string, mask int, good boolean, toxic boolean, n long"
 _HELD = pa.schema([("key", pa.binary()), ("low", pa.int64()), ("part", pa.string()), ("good", pa.bool_()), ("toxic", pa.bool_()), ("n", pa.int64())])
-# Held in files and bounded memory unless the session names another kind of state store.
-_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-}
 
 
 def own_mask(data: bytes) -> int:
@@ -184,6 +179,9 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, files: int | Non
     micro-batch writes its changes to a folder of its own, so that one that runs twice replaces them. Null sources are the
     part ''; a null doc_id is smaller than none and none is smaller than it; documents that share doc_id and text are no
     repeats of each other; null text counts as empty. An empty table gives no row.
+
+    State goes to the session's state store. Spark's default holds it in the executors' memory, about 90 bytes a text;
+    `spark.sql.streaming.stateStore.providerClass` names one that keeps it in files.
     """
     folder = f"{run_folder(spark)}/audit-{uuid.uuid4().hex}"
     found = spark.read.parquet(path)
@@ -203,14 +201,7 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, files: int | Non
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(pattern)
     changed = changes(stream, spark.read.parquet(f"{folder}/flags"), ranges)
     writer = changed.writeStream.outputMode("append").foreachBatch(keep).trigger(availableNow=True)
-    own = [name for name in _STORE if spark.conf.get(name, None) is None]
-    for name in own:
-        spark.conf.set(name, _STORE[name])
-    try:  # a stream keeps the settings it starts with
-        query = writer.option("checkpointLocation", f"{folder}/state").start()
-    finally:
-        for name in own:
-            spark.conf.unset(name)
+    query = writer.option("checkpointLocation", f"{folder}/state").start()
     query.awaitTermination()
     every = spark.read.schema(_COUNTER).parquet(f"{folder}/changes")
     return every.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
