@@ -34,6 +34,8 @@ LEAST_CONTEXTS = 3
 PURITY = 0.8
 # A sequence is a line, or this many words of a longer line.
 LENGTH = 128
+# Cells (padded words) that are tagged at once.
+CELLS = 1 << 17
 KNOWN = 400_000
 _EDGES = ".,;:!?\"'()[]{}|#$%&*…«»„“”-"
 _BEGINNINGS = (3, 4, 5, 6)
@@ -82,8 +84,8 @@ class Field:
             self.known.update(first)
 
 
-def forward_backward(emission: np.ndarray, sizes: np.ndarray, start: float, moves: np.ndarray):
-    """Marginals of the toxic state and expected moves (by row) of padded sequences."""
+def _sweeps(emission: np.ndarray, sizes: np.ndarray, start: float, moves: np.ndarray):
+    """Cells inside the padded sequences, scores, forward and backward log sums, log normaliser."""
     n, width = emission.shape
     inside = np.arange(width) < sizes[:, None]
     score = np.zeros((n, width, 2))
@@ -99,9 +101,21 @@ def forward_backward(emission: np.ndarray, sizes: np.ndarray, start: float, move
         after = back[:, t + 1] + score[:, t + 1]
         step = np.logaddexp(moves[:, 0] + after[:, :1], moves[:, 1] + after[:, 1:])
         back[:, t] = np.where(inside[:, t + 1, None], step, 0.0)
+    return inside, score, ahead, back, total
+
+
+def marginals(emission: np.ndarray, sizes: np.ndarray, start: float, moves: np.ndarray) -> np.ndarray:
+    """Marginals of the toxic state of padded sequences."""
+    inside, _, ahead, back, total = _sweeps(emission, sizes, start, moves)
+    return np.where(inside, np.exp(ahead[..., 1] + back[..., 1] - total[:, None]), 0.0)
+
+
+def forward_backward(emission: np.ndarray, sizes: np.ndarray, start: float, moves: np.ndarray):
+    """Marginals of the toxic state and expected moves (by row) of padded sequences."""
+    inside, score, ahead, back, total = _sweeps(emission, sizes, start, moves)
     marginal = np.where(inside, np.exp(ahead[..., 1] + back[..., 1] - total[:, None]), 0.0)
-    if width < 2:
-        return marginal, np.zeros((n, 2, 2))
+    if emission.shape[1] < 2:
+        return marginal, np.zeros((len(emission), 2, 2))
     pair = ahead[:, :-1, :, None] + moves + (score[:, 1:] + back[:, 1:])[:, :, None, :] - total[:, None, None, None]
     return marginal, np.where(inside[:, 1:, None, None], np.exp(pair), 0.0).sum(1)
 
@@ -245,24 +259,30 @@ def tag(texts: list[str], crf: Field, spans: bool = True) -> tuple[np.ndarray, n
     marked[np.repeat(np.arange(len(sizes)), sizes)[emission != crf.bias]] = True
     # Sequences without marks differ only in length: one of each length stands for all, and they add nothing to the sum.
     lengths = np.unique(sizes)
-    blank, _ = forward_backward(np.full((len(lengths), LENGTH), crf.bias), lengths, crf.start, crf.moves)
+    blank = marginals(np.full((len(lengths), LENGTH), crf.bias), lengths, crf.start, crf.moves)
     np.maximum.at(great, doc[~marked], blank.max(1)[np.searchsorted(lengths, sizes[~marked])])
     if not marked.any():
         return great, mass, out
     chosen = np.flatnonzero(marked)
     starts = np.cumsum(sizes) - sizes
-    padded = np.full((len(chosen), LENGTH), crf.bias)
-    for i, s in enumerate(chosen):
-        padded[i, : sizes[s]] = emission[starts[s] : starts[s] + sizes[s]]
-    marginal, _ = forward_backward(padded, sizes[chosen], crf.start, crf.moves)
-    np.maximum.at(great, doc[chosen], marginal.max(1))
-    np.add.at(mass, doc[chosen], marginal.sum(1))
+    first = starts - starts[np.searchsorted(doc, doc)]  # words of the document before the sequence
+    hits: dict[int, dict[int, float]] = {}
+    # Sequences of like length go together, in pieces of so many cells: padding and memory stay small.
+    chosen = chosen[np.argsort(sizes[chosen], kind="stable")]
+    while len(chosen):
+        cells = sizes[chosen] * np.arange(1, len(chosen) + 1)
+        piece, chosen = np.split(chosen, [max(1, int(np.searchsorted(cells, CELLS, side="right")))])
+        padded = np.full((len(piece), int(sizes[piece[-1]])), crf.bias)
+        inside = np.arange(padded.shape[1]) < sizes[piece][:, None]
+        padded[inside] = emission[(starts[piece][:, None] + np.arange(padded.shape[1]))[inside]]
+        marginal = marginals(padded, sizes[piece], crf.start, crf.moves)
+        np.maximum.at(great, doc[piece], marginal.max(1))
+        np.add.at(mass, doc[piece], marginal.sum(1))
+        if spans:
+            for i, t in zip(*np.nonzero(marginal >= 0.5), strict=True):
+                s = piece[i]
+                hits.setdefault(int(doc[s]), {})[int(first[s] + t)] = float(marginal[i, t])
     if spans:
-        first = starts - starts[np.searchsorted(doc, doc)]  # words of the document before the sequence
-        hits: dict[int, dict[int, float]] = {}
-        for i, t in zip(*np.nonzero(marginal >= 0.5), strict=True):
-            s = chosen[i]
-            hits.setdefault(int(doc[s]), {})[int(first[s] + t)] = float(marginal[i, t])
         for d, found in hits.items():
             out[d] = _spans(texts[d], found)
     return great, mass, out

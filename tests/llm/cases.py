@@ -12,7 +12,8 @@ SCHEMA = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
 ])
 # Names that the operators use themselves.
-CLASHING = ["score", "rank", "kept", "row", "hash", "shard", "d", "t", "n", "gone", "node", "start", "length", "y", "x"]
+CLASHING = ["score", "rank", "kept", "row", "hash", "shard", "d", "t", "n", "gone", "node", "start", "length", "y", "x",
+            "has_text", "key", "none"]
 
 
 def texts(seed: int = 3, many: int = 60) -> list[tuple[int | None, str | None]]:

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -182,3 +183,41 @@ def test_out_of_place_distance(spark):
     assert all(found[i].score == 0 for i in (4, 5, 6))
     assert all(r.lang_pred == "und" for r in language.classify(docs, profiles.limit(0), 5).collect())
     assert language.classify(empty(spark), profiles, 5).count() == 0
+
+
+def _marked_field():
+    return toxicity.Field({"bad": 9.0, "bad*": 1.0}, -4.0, 0.2, np.array([[0.3, -0.4], [0.1, 0.6]]))
+
+
+def test_tagging_in_pieces_is_the_field_run_line_by_line(monkeypatch):
+    """Whatever is tagged at once, scores and spans are those of every sequence by itself."""
+    r = random.Random(8)
+    texts = ["\n".join(" ".join(r.choice(["bad", "good", "badly", "x"]) for _ in range(r.randint(0, 300))) for _ in range(r.randint(0, 6)))
+             for _ in range(40)] + ["", "bad", "good\n\nbad bad\n"]
+    crf = _marked_field()
+    great, mass, spans = toxicity.tag(texts, crf)
+    for cells in (1, 200, 5000):
+        monkeypatch.setattr(toxicity, "CELLS", cells)
+        again = toxicity.tag(texts, crf)
+        assert np.allclose(again[0], great) and np.allclose(again[1], mass)
+        assert [[(a, b) for a, b, _ in s] for s in again[2]] == [[(a, b) for a, b, _ in s] for s in spans]
+    for text, g, m, found in zip(texts, great, mass, spans, strict=True):
+        every = [toxicity.forward_backward(np.array([[crf.emission(w) for w in s]]), np.array([len(s)]), crf.start, crf.moves)[0][0]
+                 for s in toxicity.sequences(text)]
+        marked = [p for p, s in zip(every, toxicity.sequences(text), strict=True) if any(crf.emission(w) != crf.bias for w in s)]
+        assert g == pytest.approx(max((p.max() for p in every), default=0.0), abs=1e-9)
+        assert m == pytest.approx(sum(p.sum() for p in marked), abs=1e-9)
+        hits = np.concatenate([p >= 0.5 for p in every]) if every else []
+        words = [x.start() for x in re.finditer(r"\S+", text)]
+        assert [any(a <= w < b for a, b, _ in found) for w in words] == list(hits)
+
+
+def test_tagging_takes_little_memory_for_short_lines():
+    """Two megabytes of marked lines of one word each: padding must not multiply them."""
+    import tracemalloc
+
+    tracemalloc.start()
+    great, _, _ = toxicity.tag(["bad\n" * 500_000], _marked_field(), spans=False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert great[0] > 0.5 and peak < 250e6
