@@ -55,12 +55,12 @@ def without_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     A character that loses some of its bytes goes as a whole.
     """
-    found = suffix.readable(suffix.removed(docs).select("doc_id", (F.size("starts") > 0).alias("cut"), "kept", "row"))
+    found = suffix.readable(suffix.removed(docs).select("doc_id", (F.size("starts") > 0).alias("cut"), "kept", "row", "has_text"))
     found = found.where(~F.col("cut") | (F.col("kept") != ""))
     row = lambda c: F.col("row").getField(c)
     columns = {c: row(c) for c in docs.columns} | {
         "doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType),
-        "text": F.when(row("has_text"), F.col("kept")),
+        "text": F.when(F.col("has_text"), F.col("kept")),
     }
     if "n_chars" in docs.columns:
         columns["n_chars"] = F.when(F.col("cut"), F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(row("n_chars"))
