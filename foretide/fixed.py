@@ -203,8 +203,19 @@ FEATURE_FAMILIES = {
     "core_plus_team_vs_adv": CORE_FEATURES + TEAM_FEATURES + OPPONENT_FEATURES,
     "full": CORE_FEATURES + TEAM_FEATURES + OPPONENT_FEATURES + RETURN_FEATURES,
 }
-ABLATION_FILLS = {"jours_repos": 7, "jours_repos_team": 3, "team_winrate_5": 0.5, "team_gf_moy_5": 2.8,
-                  "team_ga_moy_5": 2.8, "jours_absence_pre_match": 3}
+# FIXED VALUES: what stands for a missing value of each feature in the ablation.
+ABLATION_FILLS = {
+    "is_home_player": 0, "jours_repos": 7, "nb_matchs_avant_match": 0, "nb_matchs_joues_10": 0,
+    "tirs_moy_5": 0.0, "toi_moy_5": 0.0, "pp_moy_5": 0.0, "points_moy_5": 0.0, "buts_moy_5": 0.0, "passes_moy_5": 0.0,
+    "tirs_moy_10": 0.0, "toi_moy_10": 0.0, "points_moy_10": 0.0, "buts_moy_10": 0.0,
+    "tirs_par_60_5": 0.0, "points_par_60_5": 0.0, "buts_par_60_5": 0.0,
+    "hist_ok_5": 0, "hist_ok_10": 0, "is_premier_match_joueur": 0,
+    "jours_repos_team": 3, "team_back_to_back": 0, "team_back_to_back_away": 0, "consecutive_away_games": 0,
+    "team_winrate_5": 0.5, "team_gf_moy_5": 2.8, "team_ga_moy_5": 2.8, "team_context_found": 0,
+    "nb_matchs_vs_adv_avant": 0, "points_vs_adv_shrunk": 0.0, "buts_vs_adv_shrunk": 0.0, "tirs_vs_adv_shrunk": 0.0,
+    "jours_absence_pre_match": 3, "absence_longue_flag": 0, "matchs_depuis_retour_avant_match": 0,
+    "ratio_toi_retour_vs_pre_absence": 0.0, "ratio_pp_retour_vs_pre_absence": 0.0, "eligible_post_retour": 0,
+}
 
 BASELINE_FEATURES = [
     "is_home_player", "saison", "nb_matchs_avant_match", "jours_repos_raw", "is_premier_match_joueur",

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -173,24 +175,67 @@ def model_universe(features: DataFrame) -> DataFrame:
     return features.filter((F.col("hist_ok_5") == 1) & (F.col("toi_moy_5") >= 10.0))
 
 
-def ablation(features: DataFrame, date: str, families=None, target: str = fixed.TARGET, rounds: int = 400,
-             depth: int = 4, least_rows: int = 50) -> DataFrame:
-    """Metrics of one unweighted model per feature family on validation and test."""
+def ablation_matrix(features: DataFrame, date: str, families=None, target: str = fixed.TARGET) -> tuple[DataFrame, dict[str, list[str]]]:
+    """(split, label, every feature of any family) of the modelled rows, and each family's features that the table has.
+
+    Missing values get their fill, or the training rows' median where there is none; a missing target counts as 0. The
+    matrix is written once: all families read it.
+    """
     from foretide.operators.splits import nested
 
     parts = nested(model_universe(features), date)
-    train = parts.filter("split = 'train'")
-    tables = []
-    for family, columns in (families or fixed.FEATURE_FAMILIES).items():
-        usable, _, _ = Q.resolve_features(parts, columns, [target])
-        filled = parts.fillna({c: v for c, v in fixed.ABLATION_FILLS.items() if c in usable})
-        model = fit_trees(filled.filter("split = 'train'"), usable, target, False, rounds, depth, least_rows, at_least=1)
-        scored = model.score(filled.filter("split <> 'train'"), "__p").withColumn("__p", P.clip_probability("__p"))
-        tables.append(M.evaluate(scored, target, "__p", ["split"]).withColumn("family", F.lit(family)))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
+    usable = {n: Q.resolve_features(parts, c, [target])[0] for n, c in (families or fixed.FEATURE_FAMILIES).items()}
+    if empty := [n for n, columns in usable.items() if not columns]:
+        raise Q.DataProblem(f"families without a feature: {empty}")
+    every = list(dict.fromkeys(c for columns in usable.values() for c in columns))
+    label = F.coalesce(F.col(target).cast("double"), F.lit(0.0)).alias("__label")
+    real = stable(parts.where("split IS NOT NULL").select("split", label, *[S.real(F.col(c).cast("double")).alias(c) for c in every]))
+    fills = {c: float(fixed.ABLATION_FILLS[c]) for c in every if c in fixed.ABLATION_FILLS}
+    if open_ := [c for c in every if c not in fills]:
+        medians = exact_medians(real.filter("split = 'train'"), open_)
+        fills |= {c: medians.get(c, 0.0) for c in open_}
+    return real.fillna(fills), usable
+
+
+def _fit_family(matrix: DataFrame, name: str, inputs: list[str], rounds: int, depth: int, least_rows: int) -> list[dict]:
+    """Metrics per split of one family's model."""
+    train = matrix.filter("split = 'train'").select("__label", *inputs)
+    Q.require_at_least(train, "__label", 2, f"{name}: training rows")
+    train = train.coalesce(train.count() // PARTITION_ROWS + 1)
+    trees = GBTClassifier(
+        featuresCol="__features", labelCol="__label", maxIter=rounds, maxDepth=depth, stepSize=0.05, minInstancesPerNode=least_rows,
+        seed=42, checkpointInterval=10,
+    )
+    model = Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="__features"), trees]).fit(train)
+    scored = model.transform(matrix.filter("split <> 'train'")).withColumn("__p", P.clip_probability(vector_to_array("probability")[1]))
+    scored = stable(scored.select("split", F.col("__label").cast("int").alias("__y"), "__p"))
+    found = M.evaluate(scored, "__y", "__p", ["split"]).collect()  # a row for each split
+    return [{"family": name, "n_features": len(inputs), "features": " | ".join(inputs)} | r.asDict() for r in found]
+
+
+def ablation(features: DataFrame, date: str, families=None, target: str = fixed.TARGET, rounds: int = 400,
+             depth: int = 4, least_rows: int = 50) -> DataFrame:
+    """Metrics of one unweighted model per feature family on validation and test, best first within a split.
+
+    `best_on_validation` marks the family of least log-loss, then Brier score, there. All families read one matrix. Each
+    boosting round is a few short jobs, so the families' models are fitted side by side and share the cluster.
+    """
+    matrix, usable = ablation_matrix(features, date, families, target)
+    spark = matrix.sparkSession
+    fit = inheritable_thread_target(spark)(lambda item: _fit_family(matrix, *item, rounds, depth, least_rows))
+    with ThreadPool(len(usable)) as pool:
+        rows = [r for found in pool.map(fit, usable.items()) for r in found]
+    table = spark.createDataFrame(
+        [tuple(r[c] for c in _ABLATION) for r in rows],
+        "family string, split string, n_features int, features string, rows long, positive_rate double, mean_predicted_proba double, "
+        "logloss double, brier double, auc double, avg_precision double",
+    )
+    best = table.where("split = 'validation'").orderBy("logloss", "brier", "family").select("family").first()
+    marked = table.withColumn("best_on_validation", (F.col("family") == F.lit(best and best.family)).cast("int"))
+    return marked.orderBy("split", "logloss", "brier")
+
+
+_ABLATION = ("family", "split", "n_features", "features", "rows", "positive_rate", "mean_predicted_proba", "logloss", "brier", "auc", "avg_precision")
 
 
 def train_variants(features: DataFrame, date: str, variants=None, target: str = fixed.TARGET, **params):

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class DataProblem(ValueError):
@@ -61,6 +69,40 @@ def join_many_to_one(left: DataFrame, right: DataFrame, keys, label: str = "look
     return left.join(require_unique(right, keys, label), list(keys), "left")
 
 
+@dataclass
+class Dropped:
+    """What a cleaning pass left out, counted by the pass itself.
+
+    The counts are those of the first action that reads all the cleaned rows, and wait for it.
+    """
+
+    before: Observation = field(default_factory=Observation)
+    after: Observation = field(default_factory=Observation)
+
+    def unkeyed(self, df: DataFrame, keys) -> DataFrame:
+        """Rows with all keys."""
+        lacking = reduce(or_, [F.col(k).isNull() for k in keys])
+        watched = df.observe(self.before, F.count(F.lit(1)).alias("rows"), F.count_if(lacking).alias("unkeyed"))
+        return watched.dropna(subset=list(keys))
+
+    def unplaced(self, df: DataFrame, columns) -> DataFrame:
+        """Rows, one for each key by now, with all columns."""
+        gone = {f"without_{c}": F.count_if(F.col(c).isNull()) for c in columns}
+        lacking = reduce(or_, [F.col(c).isNull() for c in columns])
+        watched = df.observe(
+            self.after, F.count(F.lit(1)).alias("rows"), F.count_if(lacking).alias("unplaced"), *[m.alias(n) for n, m in gone.items()]
+        )
+        return watched.dropna(subset=list(columns))
+
+    @property
+    def counts(self) -> dict[str, int]:
+        """rows read; unkeyed, copies of a key and unplaced rows left out; per column rows without it; rows kept."""
+        first, last = dict(self.before.get), dict(self.after.get)
+        rows, unkeyed, unplaced = first["rows"], first["unkeyed"], last.pop("unplaced")
+        single = last.pop("rows")
+        return {"rows": rows, "unkeyed": unkeyed, "copies": rows - unkeyed - single, "unplaced": unplaced, "kept": single - unplaced} | last
+
+
 def null_counts(df: DataFrame, columns) -> DataFrame:
     """One row: how many rows lack each column."""
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
@@ -112,42 +154,66 @@ def missing_from(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct().join(dimension.select(key).distinct(), key, "left_anti")
 
 
+def require_members(groups: DataFrame, rows: DataFrame, key: str, label: str = "table") -> DataFrame:
+    """The groups (played matches, say), each of which must have rows; raises with examples of those that have none."""
+    bad = missing_from(groups, rows, key).orderBy(key).limit(10).collect()
+    if bad:
+        raise DataProblem(f"{label}: no rows for {key} {[r[key] for r in bad]}")
+    return groups
+
+
 def coverage(df: DataFrame, conditions: dict[str, Column], keys=()) -> DataFrame:
     """Share of rows for which each condition holds."""
     shares = [F.avg(F.coalesce(c, F.lit(False)).cast("double")).alias(n) for n, c in conditions.items()]
     return df.groupBy(*keys).agg(*shares) if keys else df.agg(*shares)
 
 
-def profile(df: DataFrame, columns) -> DataFrame:
-    """Rows, and per column the number of values, distinct values, least and greatest (as text).
+def _distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, n): how often each value (as text, or null) stands in each column.
+
+    Every Arrow batch passes on its different values with their counts, so a row is never repeated per column.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, column in zip(batch.schema.names, batch.columns, strict=True):
+                found = pc.value_counts(column)
+                names = pa.array([name] * len(found), pa.string())
+                yield pa.RecordBatch.from_arrays([names, found.field("values"), found.field("counts")], ["column", "value", "n"])
+
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    return texts.mapInArrow(count, "column string, value string, n long").groupBy("column", "value").agg(F.sum("n").alias("n"))
+
+
+def profile(df: DataFrame, columns, exact: bool = True, quantiles=()) -> DataFrame:
+    """(column, rows, filled, distinct_values, least, greatest) per column; least and greatest as text.
 
-    Distinct counts go one column at a time over (column, value) pairs, so no expand per column mix.
+    Without `exact` everything comes from one aggregation: distinct values are a sketch's estimate (about 2 % off), and
+    `quantiles` gives number columns an array of quantiles of the same kind, null for others. With it, distinct values
+    are counted by value and quantiles are not given.
     """
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    )
-    long = df.select(pairs.alias("p")).select("p.*")
-    per_value = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    per_column = per_value.groupBy("column").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("filled"),
-        F.count("value").alias("distinct_values"),
-    )
-    limits = df.agg(
-        *[F.min(c).cast("string").alias(f"lo_{i}") for i, c in enumerate(columns)],
-        *[F.max(c).cast("string").alias(f"hi_{i}") for i, c in enumerate(columns)],
-    )
-    stacked = limits.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), F.col(f"lo_{i}").alias("least"), F.col(f"hi_{i}").alias("greatest"))
-                    for i, c in enumerate(columns)
-                ]
-            )
-        ).alias("s")
-    ).select("s.*")
-    return per_column.join(stacked, "column")
+    columns, quantiles = list(columns), list(quantiles)
+    numbers = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
+    at = F.array(*[F.lit(q) for q in quantiles]) if quantiles else None
+
+    def measures(i: int, c: str) -> list[Column]:
+        found = [F.count(F.lit(1)), F.count(c), F.min(c).cast("string"), F.max(c).cast("string")]
+        if not exact:
+            found.append(F.approx_count_distinct(c, 0.02))
+            if quantiles:
+                found.append(F.percentile_approx(F.col(c).cast("double"), at, 10_000) if c in numbers else F.lit(None).cast("array<double>"))
+        return [m.alias(f"m{k}_{i}") for k, m in enumerate(found)]
+
+    names = ["rows", "filled", "least", "greatest"] + ([] if exact else ["distinct_values"] + (["quantiles"] if quantiles else []))
+    one = df.agg(*[m for i, c in enumerate(columns) for m in measures(i, c)])
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.col(f"m{k}_{i}").alias(n) for k, n in enumerate(names)]) for i, c in enumerate(columns)
+    ]))
+    table = one.select(stacked.alias("s")).select("s.*")
+    if not exact:
+        return table
+    distinct = _distinct_counts(df, columns).groupBy("column").agg(F.count("value").alias("distinct_values"))
+    return table.join(distinct, "column", "left").withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)))
 
 
 def complete_groups(df: DataFrame, group: str, member: str, expected: int) -> DataFrame:

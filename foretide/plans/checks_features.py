@@ -14,6 +14,7 @@ from foretide.plans import league as L
 from foretide.plans import league_sql as D
 from foretide.plans import slate as X
 from foretide.plans.catalogue import Shape, query
+from foretide.session import stable
 
 
 def base(spark, folder):
@@ -40,6 +41,69 @@ def fused_join_checks(spark, folder):
     return _fused.of(found)
 
 
+_faults = Shape(whole="rows matched unknown team_differs opponent_differs")
+
+
+@query(
+    "fused_join_faults",
+    f"""WITH {D.BASE}, f AS (SELECT id_match % 13 = 5 AS gone, id_match % 17 = 3 AS swapped, id_match % 19 = 2 AS misnamed FROM base)
+    SELECT {_faults.sql} FROM (SELECT count(*) AS rows, count(*) FILTER (NOT gone) AS matched, count(*) FILTER (gone) AS unknown,
+      count(*) FILTER (gone OR swapped) AS team_differs, count(*) FILTER (gone OR swapped OR misnamed) AS opponent_differs FROM f)""",
+)
+def fused_join_faults(spark, folder):
+    """Player rows of unknown matches, with both teams swapped, and with a wrong opponent."""
+    games = L.matches(spark, folder)
+    swapped, misnamed = F.col("id_match") % 17 == 3, F.col("id_match") % 19 == 2
+    team, other = F.col("team_player_match"), F.col("adversaire_match")
+    rows = L.stats(spark, folder, games).withColumns({
+        "team_player_match": F.when(swapped, other).otherwise(team),
+        "adversaire_match": F.when(swapped, team).when(misnamed, "???").otherwise(other),
+    })
+    fused = P.fused_base(rows, games.filter(F.col("id_match") % 13 != 5))
+    bad = P.fused_violations()
+    return _faults.of(fused.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_merge") == "both").alias("matched"), F.count_if(bad["match_missing"]).alias("unknown"),
+        F.count_if(bad["team_differs"]).alias("team_differs"), F.count_if(bad["opponent_differs"]).alias("opponent_differs"),
+    ))
+
+
+_dropped = Shape(whole="rows unkeyed copies unplaced without_team_player_match without_season_source kept")
+
+
+@query(
+    "dropped_rows",
+    f"""WITH {D.BASE}, f AS (SELECT CASE WHEN id_match % 50 = 1 THEN NULL ELSE id_joueur END AS id_joueur, id_match,
+      id_match % 31 = 4 AS no_team, id_joueur % 37 = 5 AS no_season FROM base),
+    e AS (SELECT * FROM f UNION ALL SELECT * FROM f WHERE id_match % 20 = 3),
+    k AS (SELECT id_joueur, id_match, any_value(no_team) AS no_team, any_value(no_season) AS no_season FROM e WHERE id_joueur IS NOT NULL GROUP BY 1, 2),
+    c AS (SELECT (SELECT count(*) FROM e) AS rows, (SELECT count(*) FROM e WHERE id_joueur IS NULL) AS unkeyed, count(*) AS single,
+      count(*) FILTER (no_team OR no_season) AS unplaced, count(*) FILTER (no_team) AS without_team_player_match,
+      count(*) FILTER (no_season) AS without_season_source FROM k),
+    d AS (SELECT *, rows - unkeyed - single AS copies, single - unplaced AS kept FROM c) SELECT {_dropped.sql} FROM d""",
+)
+def dropped_rows(spark, folder):
+    """What the base leaves out of rows without player, with a key twice, without team or season, counted on the way."""
+    rows = L.fused(spark, folder).withColumns({
+        "team_player_match": F.when(F.col("id_match") % 31 != 4, F.col("team_player_match")),
+        "season_source": F.when(F.col("id_joueur") % 37 != 5, F.col("season_source")),
+        "id_joueur": F.when(F.col("id_match") % 50 != 1, F.col("id_joueur")),
+    })
+    dropped = Q.Dropped()
+    stable(P.canonical_base(rows.unionByName(rows.filter("id_match % 20 = 3")), check=False, dropped=dropped))
+    counts = dropped.counts
+    return _dropped.of(spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts)))
+
+
+_unplayed = Shape(whole="id_match")
+
+
+@query("played_without_rows", f"WITH {D.BASE}, m AS (SELECT id_match FROM matches WHERE buts_domicile IS NOT NULL AND buts_exterieur IS NOT NULL AND id_match NOT IN (SELECT id_match FROM base)) SELECT {_unplayed.sql} FROM m")
+def played_without_rows(spark, folder):
+    """Played matches that no player row belongs to: what the blocking check refuses."""
+    games = L.matches(spark, folder)
+    return _unplayed.of(Q.missing_from(X.played_matches(games), L.stats(spark, folder, games), "id_match"))
+
+
 _base = Shape(
     whole="id_joueur id_match season_start_year is_home_player a_marque_un_point a_marque_un_but victoire_equipe defaite_equipe",
     real="buts passes points tirs temps_de_glace temps_pp diff_buts_equipe buts_match_equipe buts_match_adversaire",

@@ -77,8 +77,11 @@ def with_pp_time(base: DataFrame, pp: DataFrame) -> DataFrame:
     return joined.withColumn("temps_pp", F.coalesce("temps_pp_officiel", S.minutes("temps_pp")))
 
 
-def canonical_base(fused: DataFrame, check: bool = True) -> DataFrame:
-    """Typed columns, targets, result columns; one row per (player, match). Raises on fused_violations."""
+def canonical_base(fused: DataFrame, check: bool = True, dropped: Q.Dropped | None = None) -> DataFrame:
+    """Typed columns, targets, result columns; one row per (player, match). Raises on fused_violations.
+
+    `dropped` counts the rows that are left out on the way.
+    """
     Q.require_columns(fused, [PLAYER, MATCH, DAY, SEASON, "team_player_match", "adversaire_match"], "fused base")
     if check:
         Q.require_none(fused, fused_violations(), "fused base")
@@ -110,10 +113,11 @@ def canonical_base(fused: DataFrame, check: bool = True) -> DataFrame:
         }
     )
     base = base.drop("_merge", "team_attendue_match", "adversaire_attendu_match", "check_team_ok", "check_opp_ok")
-    # Rows without a key cannot be placed on a timeline; they are reported by Q.null_counts, not carried on.
-    base = base.dropna(subset=[PLAYER, MATCH])
+    # Rows without a key cannot be placed on a timeline: they are counted, not carried on.
+    place = [DAY, SEASON, "team_player_match", "adversaire_match"]
+    base = dropped.unkeyed(base, [PLAYER, MATCH]) if dropped else base.dropna(subset=[PLAYER, MATCH])
     base = keep_first(base, [PLAYER, MATCH], [DAY, "points", "temps_de_glace", "tirs", "team_player_match"])
-    return base.dropna(subset=[DAY, SEASON, "team_player_match", "adversaire_match"])
+    return dropped.unplaced(base, place) if dropped else base.dropna(subset=place)
 
 
 # ------------------------------------------------------------------ temporal block

@@ -14,7 +14,7 @@ def test_every_query_is_registered_with_a_known_oracle():
     catalogue.load()
     assert set(catalogue.ORACLES) <= set(catalogue.QUERIES)
     without = set(catalogue.QUERIES) - set(catalogue.ORACLES)
-    assert without == {"model_variants", "calibrated_model", "feature_family_ablation", "slate_scores", "calibrator_comparison", "sigmoid_on_scores"}
+    assert without == {"model_variants", "calibrated_model", "feature_family_ablation", "slate_scores"}
 
 
 @pytest.mark.parametrize("name", NAMES)
