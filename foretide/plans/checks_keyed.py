@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from foretide import fixed
@@ -19,6 +21,8 @@ from foretide.plans.catalogue import Shape, query
 from foretide.plans.checks_features import base
 from foretide.plans.features import player_form
 from foretide.plans.pricing import latest_run as latest
+from foretide.session import run_folder
+from foretide.sources import stored as B
 from foretide.streaming import refresh as R
 
 
@@ -80,6 +84,27 @@ def upsert_last_wins(spark, folder):
     return _up.of(K.upsert(stored, batch, ["o_custkey"], ["day", "o_orderkey"]))
 
 
+def _stored(spark, folder, change):
+    """The older half as a stored table in the shared folder, after `change(path, newer half)`."""
+    stored, batch = _halves(spark, folder)
+    path = f"{run_folder(spark)}/stored-{uuid.uuid4().hex}"
+    B.create(stored, path, ["o_custkey"], 16)
+    change(path, batch)
+    return B.read(spark, path)
+
+
+@query("stored_upsert", f"WITH {_HALVES}, u AS (SELECT * FROM new UNION ALL SELECT * FROM old WHERE o_custkey NOT IN (SELECT o_custkey FROM new)) SELECT {_up.sql} FROM u")
+def stored_upsert(spark, folder):
+    """The upsert on a stored table."""
+    return _up.of(_stored(spark, folder, lambda path, batch: B.upsert(path, batch, ["day", "o_orderkey"])))
+
+
+@query("stored_insert", f"WITH {_HALVES}, u AS (SELECT * FROM old UNION ALL SELECT * FROM new WHERE o_custkey NOT IN (SELECT o_custkey FROM old)) SELECT {_up.sql} FROM u")
+def stored_insert(spark, folder):
+    """Rows of new keys on a stored table."""
+    return _up.of(_stored(spark, folder, B.insert_absent))
+
+
 @query("insert_absent", f"WITH {_HALVES}, u AS (SELECT * FROM old UNION ALL SELECT * FROM new WHERE o_custkey NOT IN (SELECT o_custkey FROM old)) SELECT {_up.sql} FROM u")
 def insert_absent(spark, folder):
     stored, batch = _halves(spark, folder)
