@@ -326,6 +326,52 @@ def all_features(spark, folder):
     return _all.of(P.all_features(L.fused(spark, folder), L.standings(spark, folder)))
 
 
+# Every other column of the feature table: those that the twin's last table holds under the same name, and expressions on it.
+_HELD = """is_home_player buts passes points tirs temps_de_glace temps_pp buts_domicile buts_exterieur a_marque_un_point a_marque_un_but nb_matchs_joues_10
+    jours_repos_raw toi_moy_5 points_moy_5 buts_moy_5 passes_moy_5 tirs_moy_10 points_moy_10 buts_moy_10 passes_moy_10 point_hit_rate_last_5 point_hit_rate_last_10
+    goal_hit_rate_last_10 goal_hit_rate_season_pre goal_hit_rate_prev_season points_per_game_season_pre points_per_game_prev_season toi_moy_season_pre
+    toi_moy_prev_season pp_moy_season_pre pp_moy_prev_season season_games_before_match current_no_point_streak_pre max_no_point_streak_last_2_seasons_pre
+    count_5plus_point_streaks_last_2_seasons_pre count_matches_last_2_seasons_pre recent_hit_rate_composite points_vs_adv_5 buts_vs_adv_5 tirs_vs_adv_5
+    buts_vs_adv_shrunk tirs_vs_adv_shrunk jours_absence_pre_match matchs_depuis_retour_avant_match toi_pre_absence_ref pp_pre_absence_ref
+    toi_moy_retour_3_avant_match pp_moy_retour_3_avant_match points_per_game_weighted_pre is_home_team team_ga_moy_5 team_back_to_back team_back_to_back_away
+    games_played_pre games_remaining_pre points_pre conference_sequence_pre division_sequence_pre wildcard_distance_pre conference_cutoff_points_pre
+    goal_differential_pre l10_points_pre games_played_team_pre""".split()
+_MORE = {
+    "is_premier_match_joueur": "CAST(nb_matchs_avant_match = 0 AS INT)", "is_premier_match_saison_joueur": "CAST(season_games_before_match = 0 AS INT)",
+    **{f"hist_ok_{n}": f"CAST(nb_matchs_avant_match >= {n} AS INT)" for n in (5, 10, 20)},
+    **{f"season_{n}_before_match": f"coalesce({r}_season_pre, 0) * season_games_before_match" for n, r in (
+        ("point_hits", "point_hit_rate"), ("goal_hits", "goal_hit_rate"), ("points", "points_per_game"), ("toi", "toi_moy"), ("pp", "pp_moy"))},
+    **{f"{n}_par_60_5": f"CASE WHEN toi_moy_5 <> 0 THEN {n}_moy_5 * 60 / toi_moy_5 ELSE 0 END" for n in ("tirs", "points", "buts")},
+    "games_missed_proxy": "greatest(jours_absence_pre_match - 4, 0)", "return_from_absence_flag": "CAST(retour_episode > 0 AS INT)",
+    "ratio_toi_retour_vs_pre_absence": "coalesce(ratio_toi, 0)", "ratio_pp_retour_vs_pre_absence": "coalesce(ratio_pp, 0)",
+    "historical_current_weight": "w", "historical_prev_weight": "1 - w",
+    "recent_vs_expected_gap": "coalesce(point_hit_rate_weighted_pre, 0.45) - (0.6 * coalesce(point_hit_rate_last_10, 0.45) + 0.4 * coalesce(point_hit_rate_last_20, 0.45))",
+    "team_points_pre": "points_pre", "conference_rank_pre": "coalesce(conference_sequence_pre, 8.5)", "division_rank_pre": "coalesce(division_sequence_pre, 4.5)",
+    "wildcard_sequence_pre": "conference_sequence_pre - 4", "standings_context_found": "CAST(seen_day IS NOT NULL AS INT)",
+    "team_context_found": "CAST(is_home_team IS NOT NULL AS INT)", "check_home_team_context_ok": "coalesce(CAST(is_home_player = is_home_team AS INT), 0)",
+    "playoff_pressure_simple": "CASE WHEN late_season_flag = 1 AND abs(wildcard_distance_pre) >= 8 THEN -1 WHEN late_season_flag = 1 AND abs(wildcard_distance_pre) <= 4 THEN 1 ELSE 0 END",
+    "buts_match_equipe": "CASE WHEN is_home_player = 1 THEN buts_domicile ELSE buts_exterieur END",
+    "buts_match_adversaire": "CASE WHEN is_home_player = 1 THEN buts_exterieur ELSE buts_domicile END",
+    "diff_buts_equipe": "CASE WHEN is_home_player = 1 THEN buts_domicile - buts_exterieur ELSE buts_exterieur - buts_domicile END",
+    "victoire_equipe": "CAST(CASE WHEN is_home_player = 1 THEN buts_domicile > buts_exterieur ELSE buts_exterieur > buts_domicile END AS INT)",
+    "defaite_equipe": "CAST(CASE WHEN is_home_player = 1 THEN buts_domicile < buts_exterieur ELSE buts_exterieur < buts_domicile END AS INT)",
+}
+_every = Shape(whole="id_joueur id_match", real=" ".join([*_HELD, *_MORE]),
+               text="season_source adversaire_match id_equipe_domicile id_equipe_exterieur conference_abbrev_pre standings_lookup_date_pre")
+_DEFAULTS = fixed.TEMPORAL_DEFAULTS | fixed.CONTEXT_DEFAULTS
+
+
+@query(
+    "all_feature_columns",
+    f"WITH {D.CONTEXT}, every AS (SELECT id_joueur, id_match, season_source, adversaire_match, id_equipe_domicile, id_equipe_exterieur, conference_abbrev_pre, "
+    "seen_day AS standings_lookup_date_pre, " + ", ".join(f"coalesce({c}, {_DEFAULTS[c]}) AS {c}" if c in _DEFAULTS else c for c in _HELD) + ", "
+    + ", ".join(f"{x} AS {c}" for c, x in _MORE.items()) + f" FROM context) SELECT {_every.sql} FROM every",
+)
+def all_feature_columns(spark, folder):
+    """The columns of the feature table that the flagship's comparison leaves out."""
+    return _every.of(P.all_features(L.fused(spark, folder), L.standings(spark, folder)))
+
+
 _med = Shape(real="median", text="column_name")
 
 
