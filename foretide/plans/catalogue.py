@@ -60,6 +60,7 @@ def load() -> None:
         checks_features,
         checks_keyed,
         checks_pricing,
+        checks_tables,
     )
     from foretide.plans import checks_models  # noqa: F401, I001
 
