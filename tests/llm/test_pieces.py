@@ -43,6 +43,7 @@ def test_any_ids_decode_as_in_the_library(library):
 
 def test_bounded_tables(monkeypatch):
     monkeypatch.setattr(pieces, "KNOWN", 50)
+    monkeypatch.setattr(pieces, "KNOWN_PARTS", 50)
     own, again = pieces.Encoder(PATH), pieces.Encoder(PATH)
     held = [t or "" for _, t in texts()]
     assert [own.encode([t])[0] for t in held] == again.encode(held)
