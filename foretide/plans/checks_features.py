@@ -473,3 +473,30 @@ def slate_features(spark, folder):
     games, day, ahead, past, pool = _slate(spark, folder)
     found = X.slate_features(past, games, ahead, pool, L.standings(spark, folder))
     return _ahead_features.of(found.withColumnRenamed("season_games_before_match", "season_games"))
+
+
+_ahead_standings = Shape(
+    whole="id_joueur id_match standings_context_found", text="date_match team_player_match standings_lookup_date_pre conference_abbrev_pre",
+    real="games_played_pre games_remaining_pre points_pre conference_sequence_pre conference_cutoff_points_pre wildcard_distance_pre point_pctg_pre "
+         "goal_differential_pre l10_points_pre conference_rank_pre division_rank_pre",
+)
+
+
+@query(
+    "slate_standings",
+    f"""WITH {D.BASE}{_POOL_SQL}{D.STANDINGS},
+    wanted AS (SELECT id_match, date_match, id_equipe_domicile AS team FROM slate UNION ALL SELECT id_match, date_match, id_equipe_exterieur FROM slate),
+    rows AS (SELECT p.id_joueur, w.id_match, w.date_match, w.team AS team_player_match FROM wanted w JOIN pool p ON p.team_player_match = w.team),
+    seen AS (
+      SELECT r.*, CAST(s.date_snapshot IS NOT NULL AS INT) AS standings_context_found, s.date_snapshot AS standings_lookup_date_pre,
+        s.conference_abbrev AS conference_abbrev_pre, s.games_played AS games_played_pre, s.games_remaining AS games_remaining_pre, s.points AS points_pre,
+        s.conference_sequence AS conference_sequence_pre, s.conference_cutoff_points AS conference_cutoff_points_pre,
+        coalesce(s.wildcard_distance, 0) AS wildcard_distance_pre, s.point_pctg AS point_pctg_pre, s.goal_differential AS goal_differential_pre,
+        s.l10_points AS l10_points_pre, coalesce(s.conference_sequence, 8.5) AS conference_rank_pre, coalesce(s.division_sequence, 4.5) AS division_rank_pre
+      FROM rows r ASOF LEFT JOIN standing s ON r.team_player_match = s.team_abbrev AND (r.date_match - 1) >= s.date_snapshot)
+    SELECT {_ahead_standings.sql} FROM seen""",
+)
+def slate_standings(spark, folder):
+    """Standings up to the day before, on the rows of the matches to come."""
+    games, day, ahead, past, pool = _slate(spark, folder)
+    return _ahead_standings.of(X.slate_features(past, games, ahead, pool, L.standings(spark, folder)))
