@@ -82,7 +82,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what lies between them is written to the shared checkpoint folder."""
+    """All stages over documents; what lies between them is written to the shared checkpoint folder.
+
+    Rows that share a doc_id are judged by their own text in the toxicity and line stages, go or stay together in the
+    near-duplicate stage, and are one document in the string stage; an empty table gives no piece.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{run_folder(spark)}/corpus-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
