@@ -94,7 +94,11 @@ def add_counts(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[
 
 
 def fit(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(lang, rank, gram) profiles from (text, lang) rows; rows without text or lang teach nothing."""
+    """(lang, rank, gram) profiles from (text, lang) rows; rows without text or lang teach nothing.
+
+    Repeated rows count as often as they stand there; columns of other names do not matter; an empty table, or one
+    without a letter, gives no profile.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
@@ -122,7 +126,8 @@ def classify(docs: DataFrame, profiles: DataFrame, size: int = SIZE) -> DataFram
     """(doc_id, lang_pred, score): nearest profile, and 1 - distance / greatest possible distance.
 
     Null text, text without a letter, and any text when there are no profiles give `und` with score 0. Equal
-    distances go to the name that sorts first.
+    distances go to the name that sorts first. Repeated rows each give a row; a null doc_id stays null; an empty table
+    gives no row; columns of other names do not matter.
     """
     rows = profiles.collect()  # languages x size
     langs = sorted({r.lang for r in rows})

@@ -63,7 +63,11 @@ def statistics(text: str) -> list[float]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, keep: Column, rows: int) -> DataFrame:
-    """(doc_id, text, y) of at most `rows` labelled documents that `keep` (over doc_id) admits, by smallest id hash."""
+    """(doc_id, text, y) of at most `rows` labelled documents that `keep` (over doc_id) admits, by smallest id hash.
+
+    A document with several label rows has the greatest label; rows without doc_id or label teach nothing. A doc_id
+    that stands in docs more than once teaches each of its texts.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).dropna()
     known = known.where(keep).groupBy("doc_id").agg(F.max("y").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -87,7 +91,10 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "quality"
 
 
 def score(docs: DataFrame, model: trees.Trees) -> DataFrame:
-    """(doc_id, score) for every row; null text counts as empty and gets the score of an empty text."""
+    """(doc_id, score) for every row; null text counts as empty and gets the score of an empty text.
+
+    Repeated rows each give a row; a null doc_id stays null; an empty table gives no row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in in_steps(batches):

@@ -221,3 +221,25 @@ def test_tagging_takes_little_memory_for_short_lines():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert great[0] > 0.5 and peak < 250e6
+
+
+def test_language_takes_odd_tables(spark):
+    """Clashing columns, repeated rows, null ids, a very long text, empty tables."""
+    rows = [(1, "la casa es la casa", "es"), (1, "la casa es la casa", "es"), (None, "the house is the house", "en"), (2, "the house", None),
+            (2, "the house", None), (None, None, "en"), (3, "la casa " * 400_000, None), (4, "", "es")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    docs = docs.withColumns({c: F.lit("clash") for c in ("gram", "rank", "n", "lang_pred", "score", "code")})
+    profiles = language.fit(docs)
+    found = sorted(((r.doc_id, r.lang_pred) for r in language.classify(docs, profiles).collect()), key=str)
+    assert found == sorted([(1, "es"), (1, "es"), (None, "en"), (2, "en"), (2, "en"), (None, "und"), (3, "es"), (4, "und")], key=str)
+    assert language.fit(docs.limit(0)).count() == 0
+    assert language.classify(docs.limit(0), profiles).count() == 0
+    assert {r.lang_pred for r in language.classify(docs, language.fit(docs.limit(0))).collect()} == {"und"}
+
+
+def test_repeated_labels(spark):
+    """Several label rows of a document count as its greatest label, wherever they stand."""
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, 0), (3, None), (None, 1)], "doc_id long, quality int")
+    rows = quality.labelled(docs, labels, "quality", F.lit(True), 100).collect()
+    assert sorted(map(tuple, rows)) == [(1, "a", 1), (2, "b", 0), (2, "b", 0)]
