@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foretide.llm.common import in_steps, keyed_texts
+from foretide.llm.common import STEP_BYTES, in_steps, keyed_texts
 from foretide.llm.quality import labelled
 from foretide.session import stable
 
@@ -36,7 +36,7 @@ PURITY = 0.8
 LENGTH = 128
 # Cells (padded words) that are tagged at once.
 CELLS = 1 << 17
-KNOWN = 400_000
+KNOWN = 100_000
 _EDGES = ".,;:!?\"'()[]{}|#$%&*…«»„“”-"
 _BEGINNINGS = (3, 4, 5, 6)
 
@@ -305,7 +305,7 @@ def score(docs: DataFrame, crf: Field) -> DataFrame:
     """(doc_id, score, spans) for every row; null and empty texts have the lowest score and no span."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in in_steps(batches):
+        for step in in_steps(batches, limit=STEP_BYTES // 2):
             great, mass, tagged = tag(step.column("text").to_pylist(), crf)
             value = crf.score(great, mass)
             spans = [[{"start": a, "end": b, "score": s} for a, b, s in found] for found in tagged]
@@ -322,7 +322,7 @@ def keep_clean(docs: DataFrame, crf: Field, limit: float) -> DataFrame:
     """The rows of docs, all columns, whose text scores below `limit`; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in in_steps(batches):
+        for step in in_steps(batches, limit=STEP_BYTES // 2):
             great, mass, _ = tag([t or "" for t in step.column("text").to_pylist()], crf, spans=False)
             yield step.filter(pa.array(crf.score(great, mass) < limit))
 
