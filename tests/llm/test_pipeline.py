@@ -21,7 +21,7 @@ FOLDER = "/root/testdata/sf0.01"
 def test_names():
     names = __spark_entry__.queries()
     assert "pipeline" in names
-    assert sorted(int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in names) if m) == list(range(1, 11))
+    assert sorted(int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in names) if m) == list(range(1, 14))
 
 
 def test_lines_query_against_sql(spark):
