@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 
 from foretide.llm.common import in_steps, keyed_texts
 
-# Entries of each of a worker's two tables (chunks between blanks, and the parts they are cut into).
-KNOWN = 300_000
+# Entries of a worker's two tables: chunks between blanks, and the parts they are cut into.
+KNOWN, KNOWN_PARTS = 700_000, 300_000
 SPACE = "▁"
 # Fixed values of the file format: field numbers and piece types.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -116,9 +116,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes, in order."""
-        for known in (self.chunks, self.parts):
-            if len(known) > KNOWN:  # those met first are the frequent ones
-                first = dict(islice(known.items(), KNOWN // 2))
+        for known, most in ((self.chunks, KNOWN), (self.parts, KNOWN_PARTS)):
+            if len(known) > most:  # those met first are the frequent ones
+                first = dict(islice(known.items(), most // 2))
                 known.clear()
                 known.update(first)
         known, out = self.chunks, []
