@@ -186,8 +186,10 @@ def name_keys(spark, folder):
     shown = F.when(numeric, F.col("p_partkey").cast("string")).otherwise(F.concat(F.lit(_ACCENTS), F.upper("p_name")))
     words = F.split("p_name", " ")
     short = F.concat(F.upper(F.substring("p_name", 1, 1)), F.lit(". "), F.initcap(F.get(words, F.lit(1))))
+    # The narrow rows are spread before their names are worked on: one file would be one task.
+    parts = L.read(spark, folder, "part").select("p_partkey", "p_name", "p_brand").repartition("p_partkey")
     return _names.of(
-        L.read(spark, folder, "part").select(
+        parts.select(
             "p_partkey", X.normalize_text(shown).alias("plain"), X.join_name(short).alias("key_short"), X.join_name("p_name").alias("key_full"),
             X.is_digits(shown).cast("int").alias("digits"), F.array_join(X.pair_key("p_brand", "p_name"), "+").alias("pair"),
         )

@@ -61,3 +61,12 @@ def test_bet_id_does_not_depend_on_number_form(spark):
     ids = [V.bet_id(F.lit("2024-01-01"), F.lit("b"), F.lit("m"), F.lit("s"), t, F.lit("p"), F.lit("T"), F.lit(None)) for t in (F.lit(1), F.lit(1.0))]
     row = spark.range(1).select(*ids).first()
     assert row[0] == row[1] and len(row[0]) == 20
+
+
+def test_names_are_normalised_once(spark):
+    """A name key holds its text once, not once for every place that uses it."""
+    from foretide.functions import text as X
+
+    df = spark.createDataFrame([("Jean-Luc Núñez jr",)], "n string").select(X.join_name("n").alias("k"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+    assert df.first().k == "j nunez"
