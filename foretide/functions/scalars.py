@@ -188,16 +188,21 @@ def minutes_from_seconds(c) -> Column:
 
 def _minutes(c, per_minute: float) -> Column:
     text = F.trim(col(c).cast("string"))
+
+    def other(text):
+        first, last = F.substring_index(text, ":", 1), F.substring_index(text, ":", -1)
+        middle = F.substring_index(F.substring_index(text, ":", 2), ":", -1)
+        colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
+        return (
+            F.when(colons == 0, number(text) / per_minute)
+            .when(colons == 1, number(first) + number(last) / 60.0)
+            .when(colons == 2, number(first) * 60.0 + number(middle) + number(last) / 60.0)
+        )
+
+    # The plain clock form comes first: it needs one pattern test and two casts. The other forms stand in a lambda, which keeps
+    # their many tests out of the generated code; with them it is too long to be compiled.
     first, last = F.substring_index(text, ":", 1), F.substring_index(text, ":", -1)
-    middle = F.substring_index(F.substring_index(text, ":", 2), ":", -1)
-    colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
-    # The plain clock form comes first: it needs one pattern test and two casts.
-    return (
-        F.when(text.rlike(_CLOCK), first.cast("double") + last.cast("double") / 60.0)
-        .when(colons == 0, number(text) / per_minute)
-        .when(colons == 1, number(first) + number(last) / 60.0)
-        .when(colons == 2, number(first) * 60.0 + number(middle) + number(last) / 60.0)
-    )
+    return F.when(text.rlike(_CLOCK), first.cast("double") + last.cast("double") / 60.0).otherwise(let(text, other))
 
 
 def flag(c) -> Column:

@@ -70,3 +70,12 @@ def test_names_are_normalised_once(spark):
     df = spark.createDataFrame([("Jean-Luc Núñez jr",)], "n string").select(X.join_name("n").alias("k"))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
     assert df.first().k == "j nunez"
+
+
+def test_rare_clock_forms_stay_out_of_the_generated_code(spark):
+    """The plain form needs one pattern test; the tests of the others stand in a lambda."""
+    texts = ["12:30", " 1:02:30 ", "7.5", "x", "1:x", "", "1:2:3:4", "1.5:30", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(S.minutes("t")).collect()] == [12.5, 62.5, 7.5, None, None, None, None, 2.0, None]
+    plan = df.select(S.minutes("t").alias("m"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("lambdafunction")[0].count("RLIKE") == 1
