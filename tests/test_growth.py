@@ -1,11 +1,13 @@
 """Work that must grow no faster than its input."""
 
 import datetime
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 from test_timeline import season, standings
 
+from foretide.operators import modelling as G
 from foretide.plans import catalogue
 from foretide.plans import features as P
 from foretide.plans import slate as X
@@ -77,3 +79,34 @@ def test_tasks_keep_their_size(spark):
         assert spread(rows, ["id"], 50) is rows
     finally:
         spark.conf.unset("foretide.task.rows")
+
+
+def test_partitions_that_adaptive_execution_joins_are_not_counted_on(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("foretide.task.rows", "10")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert spread(spark.range(500), ["id"], 500).rdd.getNumPartitions() == 50
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("foretide.task.rows")
+
+
+def test_variants_are_fitted_side_by_side(spark, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+
+    class Model:
+        def score(self, rows):
+            return rows.withColumn("proba_point_1p_raw", F.lit(0.5))
+
+    def fit(train, usable, *_, **__):
+        both.wait()  # breaks when the other fit has not begun
+        return Model()
+
+    monkeypatch.setattr(G, "fit_trees", fit)
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 20).cast("int")).alias("date_match")
+    rows = spark.range(60).select(F.col("id").alias("id_match"), F.col("id").alias("id_joueur"), day,
+                                  (F.col("id") % 2).cast("int").alias("a_marque_un_point"), F.rand(1).alias("x"), F.rand(2).alias("y"))
+    table, scored = G.train_variants(rows, "date_match", {"one": ["x"], "two": ["x", "y"]})
+    assert sorted((r.model_variant, r.split, r.rows) for r in table.collect()) == [(n, s, 9) for n in ("one", "two") for s in ("test", "validation")]
+    assert list(scored) == ["one", "two"]
