@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foretide.llm import lines, minhash, packing, suffix, toxicity
+from foretide.llm.common import small_batches
 from foretide.session import run_folder
 
 # Documents that score at least this are toxic.
@@ -33,6 +34,7 @@ def _columns(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below TOXIC, by a field fitted on all labels. Null and empty texts stay."""
+    small_batches(spark)
     crf = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
     return toxicity.keep_clean(docs, crf, TOXIC)
 
@@ -44,6 +46,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least doc_id of each near-duplicate class. Rows without doc_id stay."""
+    small_batches(spark)
     found = minhash.classes(docs.select("doc_id", "text"))
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
     whole = _whole(docs)
@@ -55,7 +58,8 @@ def without_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     A character that loses some of its bytes goes as a whole.
     """
-    found = suffix.readable(suffix.removed(docs).select("doc_id", (F.size("starts") > 0).alias("cut"), "kept", "row", "has_text"))
+    small_batches(spark)
+    found = suffix.removed(docs, readable=True).select("doc_id", (F.size("starts") > 0).alias("cut"), "kept", "row", "has_text")
     found = found.where(~F.col("cut") | (F.col("kept") != ""))
     row = lambda c: F.col("row").getField(c)
     columns = {c: row(c) for c in docs.columns} | {
@@ -69,6 +73,7 @@ def without_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in windows of 1024 ids."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

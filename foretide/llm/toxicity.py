@@ -322,7 +322,7 @@ def keep_clean(docs: DataFrame, crf: Field, limit: float) -> DataFrame:
     """The rows of docs, all columns, whose text scores below `limit`; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in in_steps(batches, limit=STEP_BYTES // 2):
+        for step in in_steps(batches, limit=STEP_BYTES // 8):
             great, mass, _ = tag([t or "" for t in step.column("text").to_pylist()], crf, spans=False)
             yield step.filter(pa.array(crf.score(great, mass) < limit))
 

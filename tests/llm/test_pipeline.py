@@ -13,7 +13,8 @@ from test_strings import plain_classes, plain_lines, plain_removed
 from test_tokens import PATH, plain_best_fit
 from tokenizers import Tokenizer
 
-from foretide.llm import lines
+from foretide.llm import lines, suffix
+from foretide.llm.common import BATCH_ROWS
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -81,3 +82,31 @@ def test_empty_pipeline(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_tasks_of_the_pipeline_hold_little(spark, tmp_path):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    rows, labels = corpus(spark)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = documents(spark, rows)
+    try:
+        for wanted, held in (("10000", BATCH_ROWS), ("0", BATCH_ROWS), ("100", 100)):
+            spark.conf.set(name, wanted)
+            found = corpus_pipeline.without_repeated_strings(spark, docs, str(tmp_path))
+            assert int(spark.conf.get(name)) == held
+        # One Python worker for each task: the one that removes bytes also decodes what stays.
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_readable_text_drops_broken_characters(spark):
+    passage = "".join(chr(97 + k % 26) + str(k) for k in range(30))
+    # é and è begin with the same byte.
+    rows = [(1, passage + "é"), (2, "x" + passage + "èz"), (3, None), (4, "ö" * 60), (5, "ö" * 40 + "o")]
+    docs = documents(spark, rows)
+    bytes_, text = ({r.doc_id: r.kept for r in suffix.removed(docs, readable=x).collect()} for x in (False, True))
+    assert text == {i: bytes(b).decode("utf-8", "ignore") for i, b in bytes_.items()}
+    assert any(bytes(b).decode("utf-8", "replace") != text[i] for i, b in bytes_.items())
