@@ -79,3 +79,14 @@ def test_rare_clock_forms_stay_out_of_the_generated_code(spark):
     assert [r[0] for r in df.select(S.minutes("t")).collect()] == [12.5, 62.5, 7.5, None, None, None, None, 2.0, None]
     plan = df.select(S.minutes("t").alias("m"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.split("lambdafunction")[0].count("RLIKE") == 1
+
+
+def test_normalised_columns_are_the_normalised_text(spark):
+    texts = ["Sebastian Aho (FIN)", "Sebastian Aho-FIN", "sebastian  aho fin", "O`Neil sr.", "J. T. Miller", "Núñez-Éa", "ﬁn x", " a\tb ", "bjrk", "", None, "12"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = X.with_normalized(df, {"n": "t", "m": F.reverse("t")}).select(
+        "n", X.normalize_text("t").alias("one"), X.join_name_of("n").alias("k"), X.join_name("t").alias("key"),
+        X.pair_of("n", "m").alias("p"), X.pair_key("t", F.reverse("t")).alias("pair"),
+    ).collect()
+    assert [r.n for r in got] == ["sebastian aho", "sebastian aho", "sebastian aho fin", "o'neil", "j t miller", "nunez ea", "fin x", "a b", "bjrk", "", "", "12"]
+    assert all((r.n, r.k, r.p) == (r.one, r.key, r.pair) for r in got)
