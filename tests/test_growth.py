@@ -10,6 +10,7 @@ from test_timeline import season, standings
 from foretide.operators import modelling as G
 from foretide.plans import catalogue
 from foretide.plans import features as P
+from foretide.plans import pricing as V
 from foretide.plans import slate as X
 from foretide.session import spread
 
@@ -110,3 +111,22 @@ def test_variants_are_fitted_side_by_side(spark, monkeypatch):
     table, scored = G.train_variants(rows, "date_match", {"one": ["x"], "two": ["x", "y"]})
     assert sorted((r.model_variant, r.split, r.rows) for r in table.collect()) == [(n, s, 9) for n in ("one", "two") for s in ("test", "validation")]
     assert list(scored) == ["one", "two"]
+
+
+def test_picks_are_worked_out_once_for_their_display(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rows = [(f"b{i}", "2024-01-05", f"p{i}", 2.0, 0.5, 0.6 + i / 100, 0.1) for i in range(12)]
+
+    def counted(row):
+        seen.add(1)
+        return row
+
+    candidates = spark.createDataFrame(
+        spark.sparkContext.parallelize(rows, 2).map(counted),
+        "bet_id string, run_date string, player_name string, odds_decimal double, implied_probability double, model_probability double, edge_probability double",
+    ).withColumns({c: F.lit("x") for c in ("bet_status", "date_match", "team", "opponent", "market")})
+    for most in (10, 0):
+        before = seen.value
+        shown = V.daily_display(V.daily_picks(V.load_candidates(candidates), "2024-01-05", max_picks=most)).collect()
+        assert [r.player_name for r in sorted(shown, key=lambda r: r.display_rank)] == [f"p{i}" for i in range(11, 11 - (most or 12), -1)]
+        assert seen.value - before == 12
