@@ -130,3 +130,15 @@ def test_picks_are_worked_out_once_for_their_display(spark):
         shown = V.daily_display(V.daily_picks(V.load_candidates(candidates), "2024-01-05", max_picks=most)).collect()
         assert [r.player_name for r in sorted(shown, key=lambda r: r.display_rank)] == [f"p{i}" for i in range(11, 11 - (most or 12), -1)]
         assert seen.value - before == 12
+
+
+def test_copies_are_sorted_out_once_for_all_features(spark):
+    """Matches and windows read the base as written; nothing behind it drops copies again."""
+    def text(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    fused = season(spark)
+    assert "__ord_rank" in text(P.canonical_base(fused, check=False))
+    out = P.all_features(fused, None, check=False)
+    assert "__ord_rank" not in text(out)
+    assert out.count() == P.canonical_base(fused, check=False).count()
